@@ -1,0 +1 @@
+"""Empty on purpose: the work is one batch, without streams, watermarks or state."""
