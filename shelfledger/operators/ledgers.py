@@ -101,30 +101,34 @@ def imex_ledger(details: DataFrame, masters: DataFrame, include_in_progress: boo
 
     Keeps the document kinds in scope, lines without a header and headers without an effective date.
     """
+    # What depends on the header alone is worked out on the header side, once per document.
+    kind, status = F.col("document_type"), F.col("document_status")
+    internal = is_internal_receipt(kind, status)
     headers = masters.select(
         "site",
         F.col("code").alias("document_no"),
         F.col("code").alias("document"),
-        "eff_ts",
         "document_type",
         "document_status",
-        "receipt_ts",
+        business_date(F.col("eff_ts")).alias("business_date"),
+        (F.col("eff_ts").isNull() | imex_in_scope(kind, status)).alias("in_scope"),
+        internal.alias("internal"),
+        round_to_second(F.col("receipt_ts")).alias("raw_receipt_ts"),
+        receipt_candidate(internal, F.col("receipt_ts"), F.col("eff_ts")).alias("receipt_candidate_ts"),
     )
-    kind, status = F.col("document_type"), F.col("document_status")
-    internal = is_internal_receipt(kind, status)
     return (
         details.where("product is not null")
         .join(headers, ["site", "document_no"], "left")
-        .where(F.col("document").isNull() | F.col("eff_ts").isNull() | imex_in_scope(kind, status))
+        .where("document is null or in_scope")
         .select(
             "site",
             "document",
             "product",
-            business_date(F.col("eff_ts")).alias("business_date"),
+            "business_date",
             imex_net_qty(kind, status, F.col("qty_received"), F.col("quantity"), include_in_progress).alias("net_qty"),
-            internal.alias("is_internal_receipt"),
-            round_to_second(F.col("receipt_ts")).alias("raw_receipt_ts"),
-            receipt_candidate(internal, F.col("receipt_ts"), F.col("eff_ts")).alias("receipt_candidate_ts"),
+            F.coalesce("internal", F.lit(False)).alias("is_internal_receipt"),
+            "raw_receipt_ts",
+            "receipt_candidate_ts",
         )
     )
 

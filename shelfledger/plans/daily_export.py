@@ -378,7 +378,7 @@ def write_export(spark: SparkSession, sources: Sources, params: ExportParams, pa
     run = result.run
     watch = Observation("daily")
     columns = {"open": "HasSalesRecord", "sales": "SalesQty", "promo": "PromoSalesQty", "is_promo": "IsPromo", "barcode": "Barcode"}
-    metrics = [value.alias(name) for name, value in gates.row_checks(result.daily, columns).items()]
+    metrics = [value.alias(name) for name, value in gates.row_checks(columns).items()]
     result.daily.observe(watch, *metrics).write.parquet(f"{path}/daily")
     seen = watch.get
     expected = run.expected_totals.agg(
