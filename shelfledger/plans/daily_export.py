@@ -6,6 +6,7 @@ writes them to the staging folder or leaves them inside the plan.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -22,6 +23,7 @@ from shelfledger.sources.staging import Staging, without_staging
 from shelfledger.violations import GateError, Violation
 
 Stage = Callable[[str, DataFrame], DataFrame]
+LOG = logging.getLogger("shelfledger")
 
 
 class DailyExport:
@@ -267,7 +269,7 @@ class DailyExport:
             else:
                 value = F.coalesce(name, F.lit(0))
             columns.append(value.alias(name))
-        return row.select("site", *columns)
+        return self.stage("metadata", row.select("site", *columns))
 
     @cached_property
     def metadata(self) -> DataFrame:
@@ -358,7 +360,9 @@ def prepare_export(spark: SparkSession, sources: Sources, params: ExportParams)
     run.check_sources()
     run.check_population()
     run.check_lines()
-    return ExportResult(run.daily, run.metadata, run, staging, run.warnings())
+    warnings = run.warnings()
+    LOG.info("expanding to %s rows in %s partitions; warnings: %s", run.projection["rows"], run.partitions, warnings)
+    return ExportResult(run.daily, run.metadata, run, staging, warnings)
 
 
 def run_export(spark: SparkSession, sources: Sources, params: ExportParams) -> ExportResult:

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from shelfledger import ExportParams, combine_sites
+from shelfledger import ExportParams, combine_sites, load_sources
 from shelfledger.functions.expressions import in_window, round_to_second
 from shelfledger.operators import catalog, ledgers
 from shelfledger.plans.daily_export import prepare_export
+from shelfledger.sources.staging import Staging
 from tests.store import LAST, minimal_store
 from tests.test_export import build
 
@@ -43,7 +45,7 @@ def test_round_to_second(spark):
 
 
 def test_window_filter_reaches_the_scan(spark, tmp_path):
-    spark.range(3).select(F.lit(datetime(2024, 2, 10)).cast("timestamp_ntz").alias("ts")).write.parquet(f"{tmp_path}/t")
+    spark.range(3).select(F.lit("2024-02-10").cast("timestamp_ntz").alias("ts")).write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t").where(in_window(F.col("ts"), date(2024, 1, 1), LAST))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
@@ -62,6 +64,13 @@ def test_many_sites_equal_independent_runs(spark):
         assert meta[site][1:] == single.metadata.first()
     both.run.check_result()
 
+    def shared_tables(table):
+        frames = [s.reader(spark)(table).withColumn("branch", F.lit(i)) for i, s in ((1, first), (2, second))]
+        return frames[0].unionByName(frames[1])
+
+    lake = prepare_export(spark, load_sources(spark, shared_tables, site_column="branch"), RUN)
+    assert lake.daily.exceptAll(expected).isEmpty() and lake.daily.count() == expected.count()
+
 
 def test_hot_header_is_split(spark):
     """A third of all lines on one header code, and another third on none."""
@@ -76,7 +85,7 @@ def test_hot_header_is_split(spark):
         F.lit(None).cast("int").alias("discount"),
     ).repartition(16)
     masters = spark.range(n).select(
-        F.lit(0).alias("site"), F.col("id").alias("code"), F.lit(datetime(2024, 2, 10)).cast("timestamp_ntz").alias("transaction_ts")
+        F.lit(0).alias("site"), F.col("id").alias("code"), F.lit("2024-02-10").cast("timestamp_ntz").alias("transaction_ts")
     )
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -123,3 +132,12 @@ def test_partitions_follow_the_projection(spark):
     assert run.projection == {"sites": 1, "rows": 1827, "days": 1827}
     assert run.partitions == 19
     assert run.daily.count() == 1827
+
+
+def test_staging_uses_the_configured_folder_and_cleans_up(spark, tmp_path):
+    staging = Staging(spark)
+    assert staging.path.startswith(spark.conf.get("spark.checkpoint.dir"))
+    df = staging.write("numbers", spark.range(3))
+    assert df.count() == 3
+    staging.cleanup()
+    assert not Path(staging.path).exists()
