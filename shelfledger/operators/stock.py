@@ -230,11 +230,21 @@ def expand_runs(runs: DataFrame, site_days: DataFrame) -> DataFrame:
     )
 
 
-def stock_breaks(runs: DataFrame) -> DataFrame:
-    """Runs whose opening stock is not the closing stock of the run before."""
+def check_runs(runs: DataFrame) -> DataFrame:
+    """Per run: does its opening stock differ from the closing stock before it, and does it start on the wrong day?
+
+    Runs that follow each other without gap or overlap give each product every day once.
+    """
     by_day = W.partitionBy(*PRODUCT).orderBy("day")
-    opening = F.when(~F.col("tainted"), F.col("close_if_clean") - F.col("net_qty"))
-    closing = F.when(~F.col("tainted"), F.col("close_if_clean"))
+    clean = ~F.col("tainted")
+    opening = F.when(clean, F.col("close_if_clean") - F.col("net_qty"))
+    previous_close = F.lag(F.when(clean, F.col("close_if_clean"))).over(by_day)
+    expected_day = F.lag(F.date_add("day", F.col("run_days"))).over(by_day)
+    jump = F.abs(opening - previous_close) > F.lit("0.000001").cast(DEC)
+    misplaced = (F.col("run_days") < 1) | (F.col("day") != expected_day)
     return runs.select(
-        *PRODUCT, "day", opening.alias("open_stock"), F.lag(closing).over(by_day).alias("previous_close")
-    ).where(F.abs(F.col("open_stock") - F.col("previous_close")) > F.lit("0.000001").cast(DEC))
+        *PRODUCT,
+        "day",
+        F.coalesce(jump, F.lit(False)).alias("stock_jumps"),
+        F.coalesce(misplaced, F.lit(False)).alias("is_misplaced"),
+    )

@@ -154,9 +154,13 @@ class DailyExport:
 
     @cached_property
     def partitions(self) -> int:
-        """Enough partitions for the dense rows: the sparse input is too small to tell how much work follows."""
+        """Enough partitions for the dense rows: the sparse input is too small to tell how much work follows.
+
+        A multiple of the parallelism, so that the last wave of equally large tasks is full.
+        """
+        slots = self.spark.sparkContext.defaultParallelism
         wanted = -(-self.projection["rows"] // self.params.rows_per_partition)
-        return max(wanted, self.spark.sparkContext.defaultParallelism)
+        return max(-(-wanted // slots), 1) * slots
 
     @cached_property
     def facts(self) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfledger.functions.expressions import DEC, has_bundle_prefix
 from shelfledger.operators.sales import daily_sales
-from shelfledger.operators.stock import PRODUCT, stock_breaks
+from shelfledger.operators.stock import PRODUCT, check_runs
 from shelfledger.violations import GateError, Violation
 
 # Gate codes in the order in which a run stops at them.
@@ -71,6 +71,12 @@ def _named(gate: str, per_site: DataFrame) -> DataFrame:
     return per_site.select(F.lit(gate).alias("gate"), "site", F.col("violations").cast("bigint").alias("violations"))
 
 
+def _unpivot(per_site: DataFrame, gates: list[str]) -> DataFrame:
+    """Columns named after gates as rows of gate, site and violations."""
+    pairs = [F.struct(F.lit(g).alias("gate"), F.col(f"`{g}`").cast("bigint").alias("violations")) for g in gates]
+    return per_site.select("site", F.explode(F.array(*pairs)).alias("v")).select("v.gate", "site", "v.violations")
+
+
 def _repeats(gate: str, df: DataFrame, *key: str) -> DataFrame:
     return _per_site(gate, df.groupBy("site", *key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
 
@@ -220,13 +226,8 @@ def result_gates(run) -> DataFrame:
         .withColumn("I-9", _differ(F.col("promo_total"), F.col("promo_lines")).cast("bigint"))
     )
     names = ["I-1", "I-2b", "I-3", "I-4", "I-6", "I-8", "I-9"]
-    counted = seen.select(
-        "site", F.explode(F.array(*[F.struct(F.lit(n).alias("gate"), F.col(f"`{n}`").alias("violations")) for n in names])).alias("v")
-    ).select("v.gate", "site", "v.violations")
     sold = daily_sales(run.ledger_in_scope)
-    return union_all(
-        [counted, repeated_days(run.runs), lost_sales(sold, grid), _per_site("G26", stock_breaks(run.runs))]
-    )
+    return union_all([_unpivot(seen, names), run_gates(run.runs), lost_sales(sold, grid)])
 
 
 def lost_sales(sold: DataFrame, published: DataFrame) -> DataFrame:
@@ -241,10 +242,12 @@ def lost_sales(sold: DataFrame, published: DataFrame) -> DataFrame:
     return _per_site("I-2", both.where(_differ(F.col("sold_qty"), F.col("sales_qty"))))
 
 
-def repeated_days(runs: DataFrame) -> DataFrame:
-    """Runs that start on one day twice or hold for no day. Without any, no two dense rows share a key."""
-    starts = runs.groupBy(*PRODUCT, "day").agg(F.count(F.lit(1)).alias("n"), F.min("run_days").alias("run_days"))
-    return _per_site("I-5", starts.where("n > 1 or run_days < 1"))
+def run_gates(runs: DataFrame) -> DataFrame:
+    """Continuity of stock and of days. Dense rows cannot share a key while runs follow each other without overlap."""
+    checked = check_runs(runs).groupBy("site").agg(
+        F.count_if("stock_jumps").alias("G26"), F.count_if("is_misplaced").alias("I-5")
+    )
+    return _unpivot(checked, ["G26", "I-5"])
 
 
 def written_gates(run, written: DataFrame) -> DataFrame:
@@ -258,9 +261,8 @@ def written_gates(run, written: DataFrame) -> DataFrame:
     published = published.join(run.identity, "location_code")
     return union_all(
         [
-            repeated_days(run.runs),
+            run_gates(run.runs),
             lost_sales(daily_sales(run.ledger_in_scope), published),
-            _per_site("G26", stock_breaks(run.runs)),
         ]
     )
 

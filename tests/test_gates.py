@@ -205,9 +205,14 @@ def test_result_invariants(spark):
     no_barcode = F.col("attributes").withField("barcode", F.lit("H9"))
     assert broken(grid.withColumn("attributes", no_barcode)) == {"I-6"}
     runs = run.runs
-    jump = gates.stock_breaks(runs.withColumn("close_if_clean", F.col("close_if_clean") + F.day("day")))
-    assert not jump.isEmpty()
-    assert [v.gate for v in gates.failures(gates.repeated_days(runs.union(runs)))] == ["I-5"]
+
+    def broken_runs(df) -> list[str]:
+        return [v.gate for v in gates.failures(gates.run_gates(df))]
+
+    assert broken_runs(runs) == []
+    assert broken_runs(runs.withColumn("close_if_clean", F.col("close_if_clean") + F.day("day"))) == ["G26"]
+    assert "I-5" in broken_runs(runs.union(runs))
+    assert broken_runs(runs.withColumn("run_days", F.col("run_days") + 1)) == ["I-5"]
 
 
 def test_calendar_gate(spark):
