@@ -179,7 +179,7 @@ class DailyExport:
 
     @cached_property
     def identity(self) -> DataFrame:
-        return catalog.store_identity(self.sources.config, self.sources.store)
+        return self.stage("stores", catalog.store_identity(self.sources.config, self.sources.store))
 
     @cached_property
     def site_days(self) -> DataFrame:

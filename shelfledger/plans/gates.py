@@ -114,7 +114,7 @@ def key_gates(product: DataFrame, pos_master: DataFrame, imex_master: DataFrame,
 
 def population_gates(run) -> DataFrame:
     """Integrity of candidates and windows, before anything is multiplied by days."""
-    sites = run.sources.config.select("site").distinct()
+    sites = run.identity.select("site")
     keys = run.candidates.select(*PRODUCT)
     windows = run.windows
     undated = run.pos_daily.where("business_date is null").join(keys, PRODUCT, "left_semi")
