@@ -10,7 +10,7 @@ from shelfledger.params import ExportParams
 
 
 def inactivity_evidence(
-    candidates: DataFrame, pos_daily: DataFrame, imex_daily: DataFrame, params: ExportParams
+    candidates: DataFrame, pos_ledger: DataFrame, imex_daily: DataFrame, params: ExportParams
 ) -> DataFrame:
     """Evidence and verdict per candidate for the window that ends at the cutoff.
 
@@ -19,39 +19,47 @@ def inactivity_evidence(
     the running sum.
     """
     start, cutoff = params.inactivity_start(), params.cutoff()
-    inside = F.col("business_date") >= start
-    movement = pos_daily.select(
+    zero = F.lit(0).cast(DEC)
+    day = F.greatest("business_date", F.date_sub(start, 1)).alias("day")
+    returned = F.col("is_return")
+    movement = pos_ledger.where(F.col("business_date") <= cutoff).select(
         "site",
         "product",
-        "business_date",
-        (F.col("return_qty") - F.col("sale_qty")).cast(DEC).alias("net_qty"),
+        day,
+        F.when(~returned, F.col("qty")).otherwise(zero).alias("sale_qty"),
+        F.when(returned, F.col("qty")).otherwise(zero).alias("return_qty"),
         F.col("has_null_qty").alias("unknown"),
-        F.coalesce(inside & (F.col("sale_qty") > 0), F.lit(False)).alias("sold"),
-        F.lit(False).alias("received"),
     ).unionByName(
-        imex_daily.select(
+        imex_daily.where(F.col("business_date") <= cutoff).select(
             "site",
             "product",
-            "business_date",
-            "net_qty",
+            day,
+            F.col("net_qty").alias("imex_net"),
             F.col("has_unknown_qty").alias("unknown"),
-            F.lit(False).alias("sold"),
-            (inside & clean_receipt_ts().isNotNull()).alias("received"),
-        )
+            ((F.col("business_date") >= start) & clean_receipt_ts().isNotNull()).alias("received"),
+        ),
+        allowMissingColumns=True,
     )
-    days = (
-        movement.where(F.col("business_date") <= cutoff)
-        .groupBy("site", "product", F.greatest("business_date", F.date_sub(start, 1)).alias("day"))
-        .agg(
-            F.sum("net_qty").alias("net_qty"),
-            F.bool_or("unknown").alias("unknown"),
-            F.bool_or("sold").alias("sold"),
-            F.bool_or("received").alias("received"),
-        )
+    sums = movement.groupBy("site", "product", "day").agg(
+        F.sum("sale_qty").alias("sale_qty"),
+        F.sum("return_qty").alias("return_qty"),
+        F.sum("imex_net").alias("imex_net"),
+        F.bool_or("unknown").alias("unknown"),
+        F.bool_or("received").alias("received"),
+    )
+    # A missing side adds nothing; both missing leave the day without a net.
+    pos_net = (F.col("return_qty") - F.col("sale_qty")).cast(DEC)
+    days = sums.select(
+        "site",
+        "product",
+        "day",
+        F.coalesce((pos_net + F.col("imex_net")).cast(DEC), pos_net, "imex_net").alias("net_qty"),
+        "unknown",
+        "received",
+        F.coalesce((F.col("day") >= start) & (F.col("sale_qty") > 0), F.lit(False)).alias("sold"),
     )
     in_window = F.col("day") >= start
     so_far = W.partitionBy("site", "product").orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow)
-    zero = F.lit(0).cast(DEC)
     opening = F.coalesce(F.sum(F.when(~in_window, F.col("net_qty"))).over(so_far), zero)
     level = opening + F.sum(F.when(in_window, F.col("net_qty"))).over(so_far)
     levels = days.select(

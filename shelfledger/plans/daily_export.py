@@ -74,12 +74,7 @@ class DailyExport:
             return found
         return self.stage(
             "candidates",
-            inactivity.inactivity_evidence(
-                found,
-                self.pos_daily.where("business_date is not null"),
-                self.imex_daily.where("business_date is not null"),
-                self.params,
-            ),
+            inactivity.inactivity_evidence(found, self.pos_ledger, self.imex_daily, self.params),
         )
 
     @cached_property
