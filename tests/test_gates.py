@@ -18,9 +18,15 @@ RUN = ExportParams(run_date=date(2024, 3, 10))
 def stopped(spark, store, params=RUN) -> list[str]:
     with pytest.raises(GateError) as error:
         prepare_export(spark, store.sources(spark), params)
+    assert error.value.violations == sorted(error.value.violations, key=lambda v: list(gates.GATES).index(v.gate))
     return [v.gate for v in error.value.violations]
 
 
+@pytest.fixture(scope="module")
+def sound(spark):
+    return prepare_export(spark, minimal_store().sources(spark), RUN).run
+
+
 @pytest.mark.parametrize(
     ("changes", "gate"),
     [
@@ -166,8 +172,8 @@ def test_duplicate_promotion(spark):
     assert stopped(spark, store) == ["K2"]
 
 
-def test_scan_reconciliation_sees_a_lost_line(spark):
-    run = prepare_export(spark, minimal_store().sources(spark), RUN).run
+def test_scan_reconciliation_sees_a_lost_line(sound):
+    run = sound
     assert gates.failures(gates.scan_reconciliation(run.ledger_in_scope, run.pos_lines)) == []
     lost = gates.scan_reconciliation(run.ledger_in_scope, run.pos_lines.where("false"))
     assert [v.gate for v in gates.failures(lost)] == ["G22"]
@@ -215,15 +221,15 @@ def test_result_invariants(spark):
     assert broken_runs(runs.withColumn("run_days", F.col("run_days") + 1)) == ["I-5"]
 
 
-def test_calendar_gate(spark):
-    run = prepare_export(spark, minimal_store().sources(spark), RUN).run
+def test_calendar_gate(sound):
+    run = sound
     assert gates.failures(gates.calendar_gate(run)) == []
     short = Tampered(run, calendar=run.calendar.where(f"business_date <> '{LAST}'"))
     assert [v.gate for v in gates.failures(gates.calendar_gate(short))] == ["G25"]
 
 
-def test_merge_refuses_shared_keys(spark):
-    one = prepare_export(spark, minimal_store().sources(spark), RUN).daily
+def test_merge_refuses_shared_keys(spark, sound):
+    one = sound.daily
     other = prepare_export(spark, minimal_store(code=8, name="Harbour").sources(spark), RUN).daily
     assert merge_stores([one, other]).count() == 2 * one.count()
     with pytest.raises(GateError):
