@@ -154,9 +154,7 @@ def line_gates(run) -> DataFrame:
             run.sources.promotion.join(used_promotions, ["site", "promotion"], "left_semi"),
             "promotion",
         ),
-        _per_site(
-            "I-7", run.targets.join(run.pos_ledger.select(*PRODUCT).distinct(), PRODUCT, "left_anti")
-        ),
+        _per_site("I-7", run.targets.join(run.audit.select(*PRODUCT), PRODUCT, "left_anti")),
     ]
     if run.params.reconcile_scans:
         found.append(scan_reconciliation(run.ledger_in_scope, run.pos_lines))

@@ -9,11 +9,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
+# Type of header keys: any integer type.
+KEY = "key"
+
+
 @dataclass(frozen=True)
 class SourceTable:
     name: str
     frame: str
-    columns: dict[str, tuple[str, str]]  # source column -> (frame column, Spark type)
+    columns: dict[str, tuple[str, str]]  # source column -> (frame column, Spark type or KEY)
     gate: str
     optional: bool = False
 
@@ -51,7 +55,7 @@ POS_DETAIL = SourceTable(
     "pos_detail",
     {
         "Product": ("product", "int"),
-        "PoSMaster": ("pos_master", "bigint"),
+        "PoSMaster": ("pos_master", KEY),
         "Qty": ("qty", "decimal(38,6)"),
         "Amount": ("amount", "decimal(38,6)"),
         "RePosDetails": ("re_pos_details", "bigint"),
@@ -62,7 +66,7 @@ POS_DETAIL = SourceTable(
 POS_MASTER = SourceTable(
     "tbl_SALPoSMaster",
     "pos_master",
-    {"Code": ("code", "bigint"), "TransactionDate": ("transaction_ts", "timestamp_ntz")},
+    {"Code": ("code", KEY), "TransactionDate": ("transaction_ts", "timestamp_ntz")},
     "G10",
 )
 IMEX_DETAIL = SourceTable(
@@ -70,7 +74,7 @@ IMEX_DETAIL = SourceTable(
     "imex_detail",
     {
         "Product": ("product", "int"),
-        "DocumentNo": ("document_no", "bigint"),
+        "DocumentNo": ("document_no", KEY),
         "Quantity": ("quantity", "decimal(38,6)"),
         "QtyReceived": ("qty_received", "decimal(38,6)"),
     },
@@ -80,7 +84,7 @@ IMEX_MASTER = SourceTable(
     "tbl_OPSImExMaster",
     "imex_master",
     {
-        "Code": ("code", "bigint"),
+        "Code": ("code", KEY),
         "EffDate": ("eff_ts", "timestamp_ntz"),
         "DocumentType": ("document_type", "int"),
         "DocumentStatus": ("document_status", "int"),

@@ -5,7 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from shelfledger import ExportParams, combine_sites, load_sources
+from shelfledger import ExportParams, catalog_tables, combine_sites, load_sources
 from shelfledger.functions.expressions import in_window, round_to_second
 from shelfledger.operators import catalog, ledgers
 from shelfledger.plans.daily_export import prepare_export
@@ -141,3 +141,27 @@ def test_staging_uses_the_configured_folder_and_cleans_up(spark, tmp_path):
     assert df.count() == 3
     staging.cleanup()
     assert not Path(staging.path).exists()
+
+
+def test_tables_stored_by_header_key_join_without_a_shuffle(spark, tmp_path):
+    store = build()
+    read = store.reader(spark)
+    spark.sql("create database if not exists erp")
+    keys = {"tbl_SALPoSDetails": "PoSMaster", "tbl_SALPoSMaster": "Code"}
+    for table in store.schemas:
+        writer = read(table).write.mode("overwrite").option("path", f"{tmp_path}/{table}")
+        if table in keys:
+            writer = writer.bucketBy(4, keys[table])
+        writer.saveAsTable(f"erp.{table}")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sources = load_sources(spark, catalog_tables(spark, "erp"))
+        ledger = ledgers.pos_ledger(sources.pos_detail, sources.pos_master)
+        plan = ledger._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("Exchange") == 1  # the grouping's own
+        straight = store.sources(spark)
+        assert ledger.exceptAll(ledgers.pos_ledger(straight.pos_detail, straight.pos_master)).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("drop database erp cascade")
