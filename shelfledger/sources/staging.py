@@ -6,20 +6,15 @@ later steps read columns instead of repeating scans and joins, and a lost execut
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a local session without one gets a temporary folder."""
+    """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse, which the executors share too."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="shelfledger-")
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
 
 
 class Staging:
