@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfledger.llm import pii
+from shelfledger.llm import html_text, pii
 from shelfledger.llm.common import table
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_html": op4_html,
     "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {}

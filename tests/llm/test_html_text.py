@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import re
+from html import unescape
+
+import pytest
+from hypothesis import given, strategies as st
+
+from shelfledger.llm.common import table
+from shelfledger.llm.html_text import extract, main_text
+
+ARTICLE = "<article><h1>T &amp; U</h1><p>One,  two\n three.</p><p>Four</article>"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<nav><a href=x>Menu</a></nav>{ARTICLE}<footer>F</footer>", "T & U\nOne, two three.\nFour"),
+        (f"<div class='site-header'>H</div><div id=side-bar><p>x</p></div>{ARTICLE}", "T & U\nOne, two three.\nFour"),
+        ("<article><p><b>a<br><p>b</p><p>c<i>d</i></p></article>", "a\nb\ncd"),
+        ("<article><p>a</p><ul><li>x<li>y</ul><section class=comments><p>no</p></section></article>", "a\nx\ny"),
+        ("<article><p>a</p><ul><li><a>x</a><li><a>y</a><li><a>z</a></ul></article>", "a"),
+        ("<body><div><p>" + "Long text, with commas. " * 9 + "</p><p>Short</p></div><div class=ad><p>Buy</p></div>",
+         ("Long text, with commas. " * 9).strip() + "\nShort"),
+        ("<main><section><p>a, b</p></section><section><p>c</p></section></main>", "a, b\nc"),
+        ("<article><p>1 < 2 &lt; 3</p><script>if (a < b) '</p>'</script><!-- <p>x</p> --><p hidden>h</p></article>", "1 < 2 < 3"),
+        ("just text", "just text"),
+        ("<p>a&nbsp;b", "a b"),
+        ("<nav>x</nav>", ""),
+        ("<article><form><p>x</p></form></article>", ""),
+        ("", ""),
+        (None, ""),
+        ("<", "<"),
+        ("<p title='a>b'>c</p>", "c"),
+        ("<p title=\"a>b>c</p>", "b>c"),
+    ],
+)
+def test_main_text(html, text):
+    assert main_text(html) == text
+
+
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<li>", "<ul>", "</ul>", "<a>", "</a>", "<b", "x, y", "&am", "<!--", "'", '"', ">"])))
+def test_any_order_of_tags_is_read(parts):
+    text = main_text("".join(parts))
+    assert text == "\n".join(" ".join(line.split()) for line in text.split("\n")) and "\n\n" not in text
+
+
+def test_deep_and_long_pages_are_linear():
+    assert main_text("<div>" * 100_000 + "</p>" * 100_000 + "<p>x</p>") == "x"
+    assert main_text("<article>" + "<p>word " * 100_000).count("\n") == 99_999
+
+
+def test_given_pages(spark):
+    """The test pages keep their article apart; its blocks are read here by their plain markup."""
+    folder = "/root/testdata/sf0.001"
+    pages = {r.page_id: r.html for r in table(spark, folder, "pages").collect()}
+    for row in extract(table(spark, folder, "pages")).collect():
+        article = re.search("<article>(.*?)</article>", pages[row.page_id], re.S)[1]
+        blocks = (" ".join(unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split("<p>|</p>|</h1>", article))
+        assert row.text == "\n".join(filter(None, blocks)) and row.n_chars == len(row.text)
+
+
+def test_rows(spark):
+    rows = [(1, "u", ARTICLE, "x"), (1, "u", ARTICLE, "x"), (None, None, None, None), (3, "v", "", "y")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = extract(df).collect()
+    assert sorted((r.page_id or 0, r.url or "", r.n_chars) for r in got) == [(0, "", 0), (1, "u", 26), (1, "u", 26), (3, "v", 0)]
+    assert extract(df.limit(0)).collect() == []
