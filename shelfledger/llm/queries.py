@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfledger.llm import html_text, pii
-from shelfledger.llm.common import table
+from shelfledger.llm import html_text, pii, warc
+from shelfledger.llm.common import Stage, table
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Stage(spark).folder("archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    read = warc.read_archives(spark, folder, with_payload=False)
+    ids = [F.col(name).cast("long").alias(name) for name in ("page_id", "refers_to")]
+    return read.select(ids[0], "payload_bytes", "payload_digest", "record_type", ids[1], "url", "complete")
 
 
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +27,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op4_html": op4_html,
     "op10_pii": op10_pii,
 }
