@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfledger.llm import html_text, pii, warc
+from shelfledger.llm import html_text, packing, pii, warc
 from shelfledger.llm.common import Stage, table
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = Stage(spark).folder("archives")
@@ -18,6 +21,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(ids[0], "payload_bytes", "payload_digest", "record_type", ids[1], "url", "complete")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, with_ids=False)
+
+
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -28,6 +35,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_packing": op2_packing,
     "op4_html": op4_html,
     "op10_pii": op10_pii,
 }
