@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfledger.llm import html_text, packing, pii, warc
+from shelfledger.llm import html_text, ngram_join, packing, pii, warc
 from shelfledger.llm.common import Stage, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,10 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"), size=4, numerator=85, denominator=100)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op4_html": op4_html,
+    "op9_ngram_join": op9_ngram_join,
     "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {}
