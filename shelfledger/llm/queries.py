@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfledger.llm import html_text, ngram_join, packing, pii, warc
+from shelfledger.llm import html_text, line_dedup, ngram_join, packing, pii, warc
 from shelfledger.llm.common import Stage, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,11 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed_lines")
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"), size=4, numerator=85, denominator=100)
 
@@ -41,7 +46,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op4_html": op4_html,
+    "op6_line_dedup": op6_line_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_pii": op10_pii,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_line_dedup": line_dedup.ORACLE_SQL}
