@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfledger.llm import html_text, line_dedup, ngram_join, packing, pii, warc
+from shelfledger.llm import html_text, line_dedup, ngram_join, packing, pii, quality, warc
 from shelfledger.llm.common import Stage, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +34,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_removed_lines")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carried=["doc_id"])
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"), size=4, numerator=85, denominator=100)
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_html": op4_html,
     "op6_line_dedup": op6_line_dedup,
+    "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_pii": op10_pii,
 }

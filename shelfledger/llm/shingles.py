@@ -91,10 +91,10 @@ def _sets(words: np.ndarray, owner: np.ndarray, n_texts: int, size: int) -> list
     return found
 
 
-def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
-    """The set of each text of a column, in order; an empty one for a null, empty or blank text.
+def runs(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The bytes of a column's texts in order, with where each text begins; a space after each keeps words apart.
 
-    Texts are taken together up to 128 KB; a longer one alone, with memory in proportion to it.
+    Texts are taken together up to 128 KB; a longer one alone, with memory in proportion to it. A null is empty.
     """
     texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -103,18 +103,22 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     while at < len(texts):
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1)
         end = min(end, len(texts))
-        # A space between texts keeps their words apart.
         lengths = np.diff(offsets[at : end + 1])
         run = np.full(int(offsets[end] - offsets[at]) + end - at, 0x20, np.uint8)
         begins = offsets[at:end] - offsets[at] + np.arange(end - at)
         for begin, start, length in zip(begins.tolist(), offsets[at:end].tolist(), lengths.tolist(), strict=True):
             run[begin : begin + length] = data[start : start + length]
-        starts, words = word_hashes(run)
-        owner = np.searchsorted(begins, starts, "right") - 1
-        yield from _sets(words, owner, end - at, size)
+        yield run, begins
         at = end
 
 
+def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """The set of each text of a column, in order; an empty one for a null, empty or blank text."""
+    for run, begins in runs(texts):
+        starts, words = word_hashes(run)
+        yield from _sets(words, np.searchsorted(begins, starts, "right") - 1, len(begins), size)
+
+
 def signature(shingles: np.ndarray) -> int:
     """A 64-bit hash of a set, as a signed number."""
     value = xxhash.xxh3_64_intdigest(shingles.tobytes(), seed=len(shingles) & 0xFFFF)

@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from shelfledger.llm import quality
+from shelfledger.llm.common import table
+from shelfledger.llm.queries import op8_quality
+
+
+def two_views(seed, n=3000):
+    """Two noisy views of one label, which is known for one row in ten."""
+    rng = np.random.default_rng(seed)
+    truth = rng.integers(0, 2, n).astype(float)
+    views = tuple(truth[:, None] * 1.5 + rng.normal(size=(n, 6)) for _ in range(2))
+    labels = np.where(rng.random(n) < 0.1, truth, np.nan)
+    return views, labels, truth, rng.random(n) < 0.2
+
+
+def test_views_teach_each_other():
+    views, labels, truth, held = two_views(1)
+    model = quality.co_train(views, labels, held)
+    unknown = np.isnan(labels)
+    by_text, by_page, combined = (((p >= 0.5) == truth)[unknown].mean() for p in model.scores(*views))
+    assert min(model.given) > 50
+    assert combined > max(by_text, by_page) and combined > 0.95
+
+
+def test_calibrated_views_mean_what_they_say():
+    views, labels, truth, held = two_views(2, 100_000)
+    for p in quality.co_train(views, labels, held).scores(*views):
+        for low in (0.1, 0.3, 0.5, 0.7, 0.9):
+            rows = np.abs(p - low) < 0.1
+            assert abs(truth[rows].mean() - p[rows].mean()) < 0.12
+
+
+def test_one_kind_of_label_gives_no_model():
+    views, labels, _, held = two_views(3)
+    assert quality.co_train(views, np.where(labels == 1, 1.0, np.nan), held) is None
+    assert quality.co_train(views, np.full(len(labels), np.nan), held) is None
+
+
+def test_features_do_not_depend_on_neighbours():
+    texts = ["A b! | x", None, "", "é\n" * 5, "w " * 100_000, "a a a"]
+    together = quality.text_features(pa.array(texts))
+    alone = np.concatenate([quality.text_features(pa.array([t], pa.string())) for t in texts])
+    assert together.shape[0] == 6 and np.allclose(together, alone) and np.isfinite(together).all()
+
+
+def test_held_out_accuracy(spark):
+    """Fitted without the labels of every third document; those measure it."""
+    folder = "/root/testdata/sf0.1"
+    labels = table(spark, folder, "labels")
+    got = quality.classify(table(spark, folder, "documents"), labels.where("doc_id % 3 > 0"), carried=["doc_id"])
+    rows = got.join(labels.where("doc_id % 3 = 0"), "doc_id").select("kept", "quality").collect()
+    good = [r.kept for r in rows if r.quality == 1]
+    bad = [r.kept for r in rows if r.quality == 0]
+    assert len(good) > 800 and np.mean(good) > 0.99
+    assert len(bad) > 100 and np.mean(bad) < 0.1
+
+
+def test_query_scores_every_document(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = op8_quality(spark, folder).collect()
+    assert len(rows) == table(spark, folder, "documents").count()
+    assert all(0 <= s <= 1 for r in rows for s in (r.text_score, r.page_score, r.score))
+
+
+@pytest.mark.parametrize("quality_of", [lambda n: None, lambda n: n % 2])
+def test_rows(spark, quality_of):
+    texts = [(n, ("GO!! " if n % 2 else "quiet words here ") * 30, "s", "en", 150, "x") for n in range(200)]
+    odd = [(None, None, None, None, None, None), (1, "GO!! " * 30, "s", "en", 150, "x"), (900, "", "", "", 0, ""), (901, "z " * 90_000, "t", "xx", -5, "")]
+    documents = spark.createDataFrame(texts + odd, "doc_id long, text string, source string, lang string, n_chars long, score string")
+    labels = [(n, quality_of(n), "c") for n in range(150)] + [(3, 0, "c"), (None, 1, "c"), (5000, 1, "c"), (4, 7, "c")]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, text string")
+    got = quality.classify(documents, labels)
+    rows = got.collect()
+    assert got.columns == ["doc_id", "text", "source", "lang", "n_chars", "text_score", "page_score", "score", "kept"]
+    assert len(rows) == 204 and len({r.score for r in rows if r.doc_id == 1}) == 1
+    if quality_of(1) is None:
+        assert all(r.kept and r.score == 0.5 for r in rows)
+    else:
+        assert all(r.score > 0.5 for r in rows if r.doc_id in (161, 163)) and all(r.score < 0.5 for r in rows if r.doc_id in (160, 162))
+    assert quality.classify(documents.limit(0), labels).collect() == []
+    assert quality.classify(documents.select("doc_id", "text"), labels.limit(0)).count() == 204
