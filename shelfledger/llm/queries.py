@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfledger.llm import html_text, line_dedup, ngram_join, packing, pii, quality, warc
+from shelfledger.llm import html_text, line_dedup, mixing, ngram_join, packing, pii, quality, topk, warc
 from shelfledger.llm.common import Stage, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,10 +25,19 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, with_ids=False)
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), carried=["doc_id"])
+    return mixed.withColumnsRenamed({name: name[2:] for name in mixed.columns if name.startswith("m_")})
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "text", "n_lines", "n_removed_lines")
@@ -49,10 +58,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
+    "op3_topk": op3_topk,
     "op4_html": op4_html,
+    "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_pii": op10_pii,
 }
-ORACLES: dict[str, str] = {"op6_line_dedup": line_dedup.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op3_topk": topk.ORACLE_SQL, "op6_line_dedup": line_dedup.ORACLE_SQL}

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfledger.llm import mixing
+from shelfledger.llm.common import Stage, table
+from shelfledger.llm.queries import op5_mixing
+
+
+def raked_plainly(tokens, targets, rounds=200):
+    weights = tokens.astype(float)
+    for _ in range(rounds):
+        for axis, share in enumerate(targets):
+            others = tuple(n for n in range(3) if n != axis)
+            shape = [-1 if n == axis else 1 for n in range(3)]
+            sums = weights.sum(others)
+            weights = weights * (np.divide(share * tokens.sum(), sums, out=np.zeros_like(sums), where=sums > 0)).reshape(shape)
+    return weights
+
+
+def test_raking_against_arrays(spark):
+    rng = np.random.default_rng(1)
+    tokens = rng.integers(1, 1000, (5, 3, 4))
+    tokens[0, 0, 0] = 0
+    targets = [rng.dirichlet(np.full(n, 5.0)) for n in tokens.shape]
+    cells = [(*(str(n) for n in at), int(tokens[at])) for at in np.ndindex(*tokens.shape)]
+    cells = spark.createDataFrame(cells, "m_source string, m_lang string, m_topic string, tokens long")
+    tables = {
+        f"m_{name}": spark.createDataFrame([(str(n), float(s)) for n, s in enumerate(share)], "value string, share double")
+        for name, share in zip(mixing.MARGINS, targets, strict=True)
+    }
+    got = mixing.rake(cells, tables, Stage(spark), tolerance=1e-7).collect()
+    expected = raked_plainly(tokens, targets)
+    for r in got:
+        at = tuple(int(r[f"m_{name}"]) for name in mixing.MARGINS)
+        assert r.weight == pytest.approx(expected[at], rel=1e-4, abs=1e-9)
+
+
+def test_scale_meets_the_share(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(t), float(t * r)) for t, r in zip(rng.integers(1, 1000, 300), rng.lognormal(0, 1, 300), strict=True)]
+    cells = spark.createDataFrame(rows, "tokens long, weight double")
+    for share in (0.2, 0.5, 0.9):
+        scale = mixing.scale_for(cells, share)
+        expected = sum(t * min(1.0, scale * w / t) for t, w in rows)
+        assert expected == pytest.approx(share * sum(t for t, _ in rows), rel=0.01)
+
+
+def test_query_meets_its_targets(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = op5_mixing(spark, folder).toPandas()
+    assert len(rows) == table(spark, folder, "documents").count()
+    total = rows.tokens.sum()
+    for margin in ("source", "lang", "topic"):
+        share = rows.groupby(margin).tokens.sum() / total
+        target = share**mixing.TEMPER / (share**mixing.TEMPER).sum()
+        expected = (rows.probability * rows.weight * rows.tokens).groupby(rows[margin]).sum()
+        assert np.allclose(expected / expected.sum(), target, rtol=3e-3)
+    assert (rows.probability * rows.tokens).sum() / total == pytest.approx(mixing.KEPT_TOKENS, abs=0.01)
+    chosen = rows[rows.sampled]
+    assert len(chosen) == pytest.approx(rows.probability.sum(), abs=4 * (rows.probability * (1 - rows.probability)).sum() ** 0.5)
+    for _, group in rows.groupby("source"):
+        spread = (group.probability * (1 - group.probability)).sum() ** 0.5
+        assert abs(group.sampled.sum() - group.probability.sum()) <= 5 * spread + 1
+
+
+def test_own_targets_and_repeat(spark):
+    texts = [(n, f"s{n % 3}", "en", f"word{n % 7} other words " * 5) for n in range(300)]
+    df = spark.createDataFrame(texts, "doc_id long, source string, lang string, text string")
+    target = spark.createDataFrame([("s0", 0.5), ("s1", 0.5)], "value string, share double")
+    first, again = (mixing.mix(df, {"source": target}, kept_tokens=0.4).orderBy("doc_id").collect() for _ in range(2))
+    assert first == again
+    assert not any(r.m_sampled for r in first if r.source == "s2")
+    assert sum(r.m_probability * r.m_weight for r in first if r.source == "s0") == pytest.approx(sum(r.m_probability * r.m_weight for r in first if r.source == "s1"), rel=0.02)
+
+
+def test_rows(spark):
+    rows = [(1, "a", "en", "x y", "z"), (1, "a", "en", "x y", "z"), (None, None, None, None, None), (3, "b", "", "", "z"), (4, "b", "fr", "w " * 90_000, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string, m_tokens string")
+    got = mixing.mix(df).collect()
+    assert len(got) == 5 and all(0 <= r.m_probability <= 1 <= r.m_weight for r in got)
+    assert {r.m_tokens for r in got} == {2, 0, 90_000} and len({r.m_sampled for r in got if r.doc_id == 1}) == 1
+    assert "m_source" in got[0] and next(r for r in got if r.doc_id is None).m_source == ""
+    assert mixing.mix(df.limit(0)).collect() == []
+    assert mixing.mix(df.where(F.col("text").isNull())).count() == 1
