@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfledger.llm import html_text, line_dedup, mixing, ngram_join, packing, pii, quality, topk, warc
+from shelfledger.llm import html_text, itq, line_dedup, mixing, ngram_join, packing, pii, quality, topk, warc
 from shelfledger.llm.common import Stage, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_removed_lines")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carried=["doc_id"])
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html": op4_html,
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_pii": op10_pii,
