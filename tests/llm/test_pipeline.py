@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import pytest
+
+import corpus_pipeline
+from shelfledger.llm import quality
+from shelfledger.llm.common import Stage, table
+from tests.llm.test_line_dedup import plain as plain_lines
+from tests.llm.test_ngram_join import plain_classes
+from tests.llm.test_packing import REFERENCE, check
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    stage, docs = Stage(spark), table(spark, FOLDER, "documents")
+    found = [docs]
+    for _, function in corpus_pipeline.STAGES:
+        found.append(docs := stage(function(spark, docs, FOLDER)))
+    return found
+
+
+def rows(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_all_but_the_last_return_documents(results):
+    assert all(df.columns == results[0].columns for df in results[:-1])
+
+
+def test_quality_rejects_labelled_junk_and_keeps_the_rest(spark, results):
+    before, after = rows(results[0]), rows(results[1])
+    labels = {r.doc_id: r.quality for r in table(spark, FOLDER, "labels").collect()}
+    scored = quality.classify(results[0], table(spark, FOLDER, "labels"), carried=["doc_id"]).collect()
+    assert set(after) == {r.doc_id for r in scored if r.kept} and all(after[i] == before[i] for i in after)
+    good = [i for i in before if labels.get(i) == 1]
+    assert sum(i in after for i in good) >= 0.98 * len(good)
+
+
+def test_lines(results):
+    before, after = rows(results[1]), rows(results[2])
+    expected = {i: text for i, text, n, removed in plain_lines([(r.doc_id, r.text) for r in before.values()]) if not removed or removed < n}
+    assert {i: r.text for i, r in after.items()} == expected
+    assert all(r.n_chars == len(r.text) for r in after.values())
+
+
+def test_one_of_each_group_of_near_duplicates(results):
+    before, after = rows(results[2]), rows(results[3])
+    classes = plain_classes([(r.doc_id, r.text) for r in before.values()], 5, 80, 100)
+    assert set(after) == {least for _, _, least in classes} and all(after[i] == before[i] for i in after)
+
+
+def test_sample(results):
+    before, after = rows(results[3]), rows(results[4])
+    assert all(after[i] == before[i] for i in after) and len(before) > len(after) > len(before) / 2
+
+
+def test_packing(results):
+    ids = {r.doc_id: [*REFERENCE.encode(r.text, add_special_tokens=False).ids, 2] for r in results[4].collect()}
+    check(results[5].collect(), ids, 1024)
+
+
+def test_odd_rows_and_empty_tables(spark, tmp_path):
+    documents = [(1, "a b c d e f", "en", "s", 11), (1, "a b c d e f", "en", "s", 11), (None, None, None, None, None), (2, "", "en", "s", 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, part in (("full", documents), ("empty", [])):
+        spark.createDataFrame(part, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").limit(len(part))
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    found = corpus_pipeline.run(spark, f"{tmp_path}/full").collect()
+    assert {r.doc_id for r in found} <= {1, 2, None}
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").collect() == []
