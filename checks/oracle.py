@@ -392,7 +392,9 @@ ATTRIBUTE_COLUMNS = (
 _SUMMARY = ", ".join(f"{sql} AS {name}" for name, sql in DAILY_SUMMARY)
 _ATTRIBUTES = ", ".join(f'"{c}"' for c in ATTRIBUTE_COLUMNS)
 
-_GATE_ROWS = """SELECT gate, coalesce(violations, 0)::BIGINT AS violations FROM (VALUES {names}) n(gate) LEFT JOIN (
+_GATE_ROWS = """SELECT gate, evaluated, CASE WHEN evaluated THEN coalesce(violations, 0)::BIGINT END AS violations
+FROM (SELECT gate, gate NOT IN ('G1', 'G2', 'G2b', 'G3', 'G4', 'S5', 'G7', 'G8', 'G9', 'G10', 'G23', 'G19', 'G22', 'K4a', 'K4b')
+  AS evaluated FROM (VALUES {names}) n(gate)) LEFT JOIN (
   SELECT 'G5' AS gate, 0 AS violations
   UNION ALL SELECT 'K1', (SELECT count(*) FROM (SELECT product FROM product WHERE product IS NOT NULL GROUP BY 1 HAVING count(*) > 1))
   UNION ALL SELECT 'G12', (SELECT count(*) FROM pos_daily JOIN candidate USING (product) WHERE business_date IS NULL)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date, datetime, time, timedelta
+
 from pyspark.sql import DataFrame, functions as F
 
 from shelfledger.functions.expressions import (
@@ -18,6 +21,9 @@ from shelfledger.functions.expressions import (
 )
 
 
+Watch = Callable[[DataFrame], DataFrame]
+
+
 def with_pos_header(details: DataFrame, masters: DataFrame, how: str = "left") -> DataFrame:
     """POS lines with their header's timestamp. The left join keeps lines without a header, with a NULL date.
 
@@ -28,18 +34,24 @@ def with_pos_header(details: DataFrame, masters: DataFrame, how: str = "left") -
     return details.join(headers, ["site", "pos_master"], how)
 
 
-def pos_ledger(details: DataFrame, masters: DataFrame) -> DataFrame:
+def as_it_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def pos_ledger(
+    details: DataFrame, masters: DataFrame, before: Watch = as_it_is, after: Watch = as_it_is
+) -> DataFrame:
     """The whole POS history at product, day, discount and sale/return grain.
 
     Everything later steps read (quantities, unknown flags, price agreement, promotion) survives this grouping, so the
     lines themselves are scanned only once. Lines are summed before the shuffle, so a product that holds a large share
-    of all lines arrives as few rows.
+    of all lines arrives as few rows. ``before`` and ``after`` may watch the lines on either side of the header join.
     """
     returned = is_return(F.col("re_pos_details"))
     regular = regular_price_line(returned, F.col("discount"), F.col("qty"), F.col("amount"))
     price = F.when(regular, unit_price(F.col("amount"), F.col("qty")))
     return (
-        with_pos_header(details.where("product is not null"), masters)
+        after(with_pos_header(before(details.where("product is not null")), masters))
         .groupBy(
             "site",
             "product",
@@ -74,11 +86,19 @@ def activity_days(ledger: DataFrame) -> DataFrame:
     return ledger.where("business_date is not null").select("site", "business_date").distinct()
 
 
-def pos_lines(details: DataFrame, masters: DataFrame, targets: DataFrame) -> DataFrame:
+def pos_lines(
+    details: DataFrame, masters: DataFrame, targets: DataFrame, first: date | None = None, last: date | None = None
+) -> DataFrame:
     """POS lines of the final population inside its window.
 
     ``targets`` carries each product's window, so the join is both the population filter and the exact date filter.
+    ``first`` and ``last`` bound all windows; as plain values they reach the scan of the headers.
     """
+    if first is not None and last is not None:
+        midnight = time()
+        opens, ends = datetime.combine(first, midnight), datetime.combine(last + timedelta(days=1), midnight)
+        ts = F.col("transaction_ts")
+        masters = masters.where((ts >= F.lit(opens).cast("timestamp_ntz")) & (ts < F.lit(ends).cast("timestamp_ntz")))
     scope = targets.select("site", "product", "window_start", "window_end")
     return (
         with_pos_header(details.where("product is not null"), masters, "inner")
@@ -96,7 +116,13 @@ def pos_lines(details: DataFrame, masters: DataFrame, targets: DataFrame) -> Dat
     )
 
 
-def imex_ledger(details: DataFrame, masters: DataFrame, include_in_progress: bool = False) -> DataFrame:
+def imex_ledger(
+    details: DataFrame,
+    masters: DataFrame,
+    include_in_progress: bool = False,
+    before: Watch = as_it_is,
+    after: Watch = as_it_is,
+) -> DataFrame:
     """Warehouse lines with their signed stock effect and receipt times.
 
     Keeps the document kinds in scope, lines without a header and headers without an effective date.
@@ -117,8 +143,7 @@ def imex_ledger(details: DataFrame, masters: DataFrame, include_in_progress: boo
         receipt_candidate(internal, F.col("receipt_ts"), F.col("eff_ts")).alias("receipt_candidate_ts"),
     )
     return (
-        details.where("product is not null")
-        .join(headers, ["site", "document_no"], "left")
+        after(before(details.where("product is not null")).join(headers, ["site", "document_no"], "left"))
         .where("document is null or in_scope")
         .select(
             "site",

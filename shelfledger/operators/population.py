@@ -78,13 +78,22 @@ def export_windows(pos_ledger: DataFrame, imex_daily: DataFrame, params: ExportP
     )
 
 
+#: Parts of a site that are ranked apart before the site is.
+SAMPLE_PARTS = 64
+
+
 def sample_barcodes(products: DataFrame, n: int) -> DataFrame:
-    """Products of ``n`` distinct barcodes per site in a stable hash order; a shared barcode keeps all its products."""
-    stable = W.partitionBy("site").orderBy(F.xxhash64(F.col("barcode").cast("string")), "barcode")
-    kept = (
-        products.select("site", "barcode").distinct().withColumn("place", F.row_number().over(stable)).where(F.col("place") <= n)
-    )
-    return products.join(kept, ["site", "barcode"], "left_semi")
+    """Products of ``n`` distinct barcodes per site in a stable hash order; a shared barcode keeps all its products.
+
+    The first ``n`` of each part of a site are found first, so only they meet in one task.
+    """
+    order = F.xxhash64(F.col("barcode").cast("string"))
+    barcodes = products.select("site", "barcode").distinct()
+    barcodes = barcodes.select("*", order.alias("order"), F.pmod(F.hash(order), F.lit(SAMPLE_PARTS)).alias("part"))
+    for keys in (["site", "part"], ["site"]):
+        place = F.row_number().over(W.partitionBy(*keys).orderBy("order", "barcode"))
+        barcodes = barcodes.withColumn("place", place).where(F.col("place") <= n)
+    return products.join(barcodes.select("site", "barcode"), ["site", "barcode"], "left_semi")
 
 
 def target_products(candidates: DataFrame, groups: DataFrame, brands: DataFrame, windows: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ ATTRIBUTES = (
     "window_start",
     "window_end",
 )
+STORE = ("location_code", "location_name")
 PRODUCT = ["site", "product"]
 
 
@@ -162,10 +163,13 @@ def stock_runs(facts: DataFrame, targets: DataFrame, partitions: int) -> DataFra
     """Event days with running stock, the number of days each state holds, and the product's attributes.
 
     Range partitioning by product gives the result its final order while it is still sparse. A header row ahead of each
-    product's first day brings the attributes, so no join follows the partitioning.
+    product's first day brings the attributes and its store's name and open days, so no join follows the partitioning.
     """
     header = targets.select(
-        *PRODUCT, F.date_sub("window_start", 2).alias("day"), F.struct(*ATTRIBUTES).alias("attributes")
+        *PRODUCT,
+        F.date_sub("window_start", 2).alias("day"),
+        F.struct(*ATTRIBUTES, *STORE).alias("attributes"),
+        "open_days",
     )
     rows = facts.unionByName(header, allowMissingColumns=True).repartitionByRange(partitions, *PRODUCT)
     by_day = W.partitionBy(*PRODUCT).orderBy("day")
@@ -184,6 +188,7 @@ def stock_runs(facts: DataFrame, targets: DataFrame, partitions: int) -> DataFra
             F.bool_or("unknown").over(so_far).alias("tainted"),
             F.lead("day").over(by_day).alias("next_day"),
             F.first("attributes", ignorenulls=True).over(so_far).alias("attributes"),
+            F.first("open_days", ignorenulls=True).over(so_far).alias("open_days"),
             "sales_qty",
             "promo_qty",
             "is_promo",
@@ -197,14 +202,11 @@ def stock_runs(facts: DataFrame, targets: DataFrame, partitions: int) -> DataFra
     )
 
 
-def expand_runs(runs: DataFrame, site_days: DataFrame) -> DataFrame:
+def expand_runs(runs: DataFrame) -> DataFrame:
     """One row per product and calendar day. Events belong to the first day of a run; stock holds for all of it."""
     first = F.date_diff("day", "attributes.window_start") + 1
-    days = runs.join(site_days, "site").select(
-        *runs.columns,
-        *[c for c in site_days.columns if c not in ("site", "open_days")],
-        F.posexplode(F.slice("open_days", first, F.col("run_days"))).alias("offset", "has_sales_record"),
-    )
+    open_days = F.slice("open_days", first, F.col("run_days"))
+    days = runs.select("*", F.posexplode(open_days).alias("offset", "has_sales_record"))
     event = F.col("offset") == 0
     is_open, clean = F.col("has_sales_record"), ~F.col("tainted")
     open_stock = F.when(event, F.col("close_if_clean") - F.col("net_qty")).otherwise(F.col("close_if_clean")).cast(DEC)
@@ -225,7 +227,6 @@ def expand_runs(runs: DataFrame, site_days: DataFrame) -> DataFrame:
         stock_status(F.col("tainted"), open_stock, F.col("close_if_clean")).alias("stock_status"),
         on_event("receipt_ts").alias("first_receipt_ts"),
         on_event("price").alias("price"),
-        *[c for c in site_days.columns if c not in ("site", "open_days")],
         "attributes",
     )
 

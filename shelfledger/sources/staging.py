@@ -31,9 +31,29 @@ class Staging:
 
     def cleanup(self) -> None:
         """Remove this run's folder, once its results are written elsewhere."""
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self.spark._jsc.hadoopConfiguration()
-        jvm_path.getFileSystem(conf).delete(jvm_path, True)
+        remove(self.spark, self.path)
+
+
+def _located(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    location, files = _located(spark, path)
+    return files.exists(location)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    location, files = _located(spark, path)
+    files.delete(location, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a written folder its final name, in the same store."""
+    location, files = _located(spark, source)
+    if not files.rename(location, _located(spark, target)[0]):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 def without_staging(name: str, df: DataFrame) -> DataFrame:
