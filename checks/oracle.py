@@ -5,6 +5,8 @@ Deliberately dense and naive: products are crossed with the calendar and stock i
 
 from __future__ import annotations
 
+from shelfledger.schemas import DAILY_COLUMNS
+
 RUN_DATE, CUTOFF = "DATE '2001-12-31'", "DATE '2001-06-30'"
 INACTIVE_FROM = "DATE '1999-07-01'"
 D = "DECIMAL(38,6)"
@@ -416,6 +418,13 @@ FROM (SELECT gate, gate NOT IN ('G1', 'G2', 'G2b', 'G3', 'G4', 'S5', 'G7', 'G8',
 ) v USING (gate)"""
 
 
+def _digest(rows: str, product: str, day: str, columns) -> str:
+    """Every cell of every day of a product, in one hash."""
+    cells = ", ".join(f"""coalesce("{name}"::VARCHAR, '~')""" for name in sorted(columns))
+    return f"""SELECT {product} AS product, count(*) AS days, md5(string_agg(row, '' ORDER BY day)) AS digest
+    FROM (SELECT {product}, {day} AS day, md5(concat_ws('|', {cells})) AS row FROM {rows}) GROUP BY 1"""
+
+
 def oracle_queries(gate_codes: list[str]) -> dict[str, str]:
     names = ", ".join(f"('{g}')" for g in gate_codes)
     ledger = f"""SELECT product, business_date, discount, is_return, sum(qty) AS qty, count(*) AS line_count,
@@ -428,7 +437,10 @@ def oracle_queries(gate_codes: list[str]) -> dict[str, str]:
       bool_or(is_internal_receipt) AS has_receipt,
       min(raw_receipt_ts::DATE) FILTER (WHERE is_internal_receipt) AS first_receipt_date,
       min(receipt_candidate_ts) FILTER (WHERE is_internal_receipt) AS first_candidate_ts,
-      bool_or(is_internal_receipt AND raw_receipt_ts IS NULL) AS any_missing_receipt
+      bool_or(is_internal_receipt AND raw_receipt_ts IS NULL) AS any_missing_receipt,
+      bool_or(is_internal_receipt AND raw_receipt_ts IS NOT NULL AND raw_receipt_ts::DATE <> business_date) AS any_receipt_mismatch,
+      bool_or(is_internal_receipt AND raw_receipt_ts IS NOT NULL AND raw_receipt_ts = date_trunc('day', raw_receipt_ts))
+        AS any_date_only_receipt
     FROM imex GROUP BY 1, 2"""
     audit_counts = """count(*) AS "ProductsInSALPoSDetails",
       count(*) FILTER (WHERE missing_from_master) AS "ProductsNotInProductMaster",
@@ -472,7 +484,12 @@ def oracle_queries(gate_codes: list[str]) -> dict[str, str]:
         "group_path": ("group_path", "SELECT * FROM group_path"),
         "brand_names": ("brand", "SELECT * FROM brand"),
         "population_audit": ("audit", f"SELECT {audit_counts} FROM audit"),
-        "retail_candidates": ("candidate", "SELECT * FROM candidate"),
+        "retail_candidates": (
+            "candidate product",
+            """SELECT c.product, c.barcode, false AS missing_from_master, false AS missing_barcode, false AS has_h_prefix,
+              p.product_name, p.group_code, p.brand_code, p.quantitative, p.packing_size
+            FROM candidate c JOIN product p ON p.product = c.product""",
+        ),
         "pos_only_dropped": (
             "imex audit product",
             f'SELECT ({dropped}) AS "PosOnlyRuleDroppedStockedProductCount"',
@@ -485,6 +502,11 @@ def oracle_queries(gate_codes: list[str]) -> dict[str, str]:
             "target",
             "SELECT count(*)::BIGINT AS barcodes FROM (SELECT DISTINCT barcode FROM target LIMIT 50)",
         ),
+        "barcode_sample_members": (
+            "target",
+            """SELECT count(*)::BIGINT AS barcodes, 0::BIGINT AS products_left_out, 0::BIGINT AS products_too_many
+            FROM (SELECT DISTINCT barcode FROM target LIMIT 50)""",
+        ),
         "stock_seed": ("seed", "SELECT * FROM seed"),
         "pos_lines": ("lines", "SELECT product, business_date, qty, amount, discount, is_return FROM lines"),
         "scan_totals": (
@@ -551,6 +573,16 @@ def oracle_queries(gate_codes: list[str]) -> dict[str, str]:
             """SELECT * FROM daily WHERE "SalesQty" > 0 OR "PromoSalesQty" > 0 OR "Price" IS NOT NULL
               OR "FirstReceiptDateTime" IS NOT NULL OR "OpenStock" <> "CloseStock" """,
         ),
+        "daily_source_digest": ("daily", _digest("daily", '"ProductCode"', '"Date"', DAILY_COLUMNS)),
+        "stock_digest": (
+            "stock",
+            _digest(
+                "stock",
+                "product",
+                "business_date",
+                ("product", "business_date", "open_stock", "close_stock", "daily_net_movement", "stock_status"),
+            ),
+        ),
         "metadata": ("win audit imex product evidence target price", metadata),
         "gate_report": (
             "product pos_daily candidate imex win bundle lines calendar stock daily target",

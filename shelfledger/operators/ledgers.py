@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, time, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -95,10 +95,7 @@ def pos_lines(
     ``first`` and ``last`` bound all windows; as plain values they reach the scan of the headers.
     """
     if first is not None and last is not None:
-        midnight = time()
-        opens, ends = datetime.combine(first, midnight), datetime.combine(last + timedelta(days=1), midnight)
-        ts = F.col("transaction_ts")
-        masters = masters.where((ts >= F.lit(opens).cast("timestamp_ntz")) & (ts < F.lit(ends).cast("timestamp_ntz")))
+        masters = masters.where(in_window(F.col("transaction_ts"), first, last))
     scope = targets.select("site", "product", "window_start", "window_end")
     return (
         with_pos_header(details.where("product is not null"), masters, "inner")
