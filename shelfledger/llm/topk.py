@@ -19,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfledger.llm.common import Stage
+from shelfledger.llm.grouping import grouped
 
 K, EVERY = 5, 50
 BLOCK_ROWS, QUERY_SLICE = 4096, 2048
-LEAF, FANOUT = 64, 16
+LEAF, FANOUT = 256, 16
 #: Searches are dealt to at most so many tasks; more trees and slices share them.
 MAX_TASKS = 10_000
 
@@ -131,26 +132,6 @@ def quantized(vectors: DataFrame, id_column: str, vector_column: str) -> DataFra
 PAGE = "dim int, block int, page int, leaf boolean, numbers array<bigint>, points binary, radii binary, above binary"
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, pa.Table]]:
-    """Runs of rows with equal first columns, from batches that are sorted by them."""
-    held: list[pa.RecordBatch] = []
-    key = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.column_stack([batch.column(n).to_numpy() for n in range(n_keys)])
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), batch.num_rows]
-        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            this = tuple(keys[begin].tolist())
-            if held and this != key:
-                yield key, pa.Table.from_batches(held)
-                held = []
-            key = this
-            held.append(batch.slice(begin, end - begin))
-    if held:
-        yield key, pa.Table.from_batches(held)
-
-
 def build_trees(rows: DataFrame, blocks: Column, n_blocks: int) -> DataFrame:
     """The pages of a tree for each block of each dimension."""
     block = F.pmod(F.xxhash64("vec_id"), blocks).cast("int")
@@ -158,7 +139,7 @@ def build_trees(rows: DataFrame, blocks: Column, n_blocks: int) -> DataFrame:
     dealt = dealt.repartition(min(n_blocks, MAX_TASKS), "dim", "block").sortWithinPartitions("dim", "block", "vec_id")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (dim, block), table in _grouped(batches, 2):
+        for (dim, block), table in grouped(batches, 2):
             vectors = table.column("numbers").combine_chunks().flatten().to_numpy().reshape(-1, dim)
             tree = Pages.build(table.column("vec_id").to_numpy(), vectors)
             for page, (numbers, points, radii, above) in tree.pages.items():
@@ -183,7 +164,7 @@ def search_trees(pages: DataFrame, queries: DataFrame, k: int, tasks: int) -> Da
     together = together.sortWithinPartitions("dim", "block", "slice", F.col("query_id").asc_nulls_first(), "page")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (dim, _, _), table in _grouped(batches, 3):
+        for (dim, _, _), table in grouped(batches, 3):
             tree, found = Pages(0.0), []
             for row in (r for batch in table.to_batches(256) for r in batch.to_pylist()):
                 if row["query_id"] is None:
