@@ -14,6 +14,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,6 @@ from shelfledger.llm.common import Stage
 
 CAPACITY = 1024
 END_ID = 2
-PIECES_PER_BUCKET = 100_000
 # Fixed value: how byte-level vocabularies of this kind split text before merging.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -173,7 +173,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = pieces.sparkSession
     counts = {row.length: row.n for row in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = places(best_two_fit(counts, capacity))
-    buckets = sum(counts.values()) // PIECES_PER_BUCKET + 1
+    buckets = isqrt(sum(counts.values())) + 1  # as many as a bucket holds of the most frequent length at most
     keyed = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
     sizes = keyed.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -91,8 +91,7 @@ def test_documents_round_trip(spark):
     assert len({r.sequence_id for r in rows}) <= sum(map(len, ids.values())) / 1024 * 1.01 + 1
 
 
-def test_ranks_over_several_buckets(spark, monkeypatch):
-    monkeypatch.setattr(packing, "PIECES_PER_BUCKET", 7)
+def test_other_capacity_and_ids(spark):
     source = table(spark, "/root/testdata/sf0.001", "documents")
     rows = packing.pack_documents(source, VOCABULARY, capacity=64).collect()
     check(rows, {r.doc_id: [*REFERENCE.encode(r.text or "", add_special_tokens=False).ids, 2] for r in source.collect()}, 64)
