@@ -8,6 +8,7 @@ its cell. Cells and margins are tables all the way, so any number of sources is
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -103,17 +104,18 @@ def rake(
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     cells = cells.withColumn("weight", F.col("tokens").cast("double"))
+    wanted = stage(reduce(DataFrame.union, [shares.select(F.lit(m).alias("margin"), "value", "share") for m, shares in targets.items()]))
     for _ in range(max_rounds if total else 0):
-        for margin, shares in targets.items():
+        for margin in targets:
+            shares = wanted.where(F.col("margin") == margin)
             sums = cells.groupBy(margin).agg(F.sum("weight").alias("sum")).where("sum > 0")
-            scale = sums.join(shares.withColumnRenamed("value", margin), margin).select(margin, (F.col("share") * total / F.col("sum")).alias("scale"))
+            scale = sums.join(shares.select(F.col("value").alias(margin), "share"), margin).select(margin, (F.col("share") * total / F.col("sum")).alias("scale"))
             cells = cells.join(scale, margin, "left").withColumn("weight", F.col("weight") * F.coalesce("scale", F.lit(0.0))).drop("scale")
         cells = stage(cells)
-        furthest = 0.0
-        for margin, shares in targets.items():
-            sums = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("weight").alias("sum")).where("sum > 0")
-            off = sums.join(shares, "value").agg(F.max(F.abs(F.col("sum") / (F.col("share") * total) - 1)))
-            furthest = max(furthest, off.first()[0] or 0.0)
+        sides = [F.struct(F.lit(margin).alias("margin"), F.col(margin).alias("value")) for margin in targets]
+        sums = cells.select("weight", F.inline(F.array(*sides))).groupBy("margin", "value").agg(F.sum("weight").alias("sum"))
+        off = sums.where("sum > 0").join(wanted, ["margin", "value"])
+        furthest = off.agg(F.max(F.abs(F.col("sum") / (F.col("share") * total) - 1))).first()[0] or 0.0
         if furthest <= tolerance:
             break
     return cells
@@ -163,7 +165,7 @@ def mix(
     counted = with_topics(documents, centres, [])
     cells = stage(counted.groupBy(*names).agg(F.sum("m_tokens").alias("tokens")))
     wanted = {f"m_{name}": shares for name, shares in (targets or {}).items()}
-    wanted = {name: stage(wanted[name] if name in wanted else tempered(cells, name)) for name in names}
+    wanted = {name: wanted[name] if name in wanted else tempered(cells, name) for name in names}
     raked = rake(cells, wanted, stage)
     scale = scale_for(raked, kept_tokens)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(1.0) * scale
