@@ -7,9 +7,11 @@
    ``k`` of the first ``n - ceil(t * n) + k``. Large sets enter the inverted list of each of the former; small sets
    enumerate the pairs (k = 2) among the latter. The boundary is where both cost the same, by the counted lengths of lists.
    Sets near the boundary, which may have a partner on its other side, enter both.
-4. A list is not expanded into all its pairs. In each round, a few of its members that are not yet joined to its largest
-   class are compared with all its members of other classes; classes are then joined, and the number of members taken
-   grows fourfold until none is left. So every two sets that share a key are compared unless a class already joins them.
+4. A list is not expanded into all its pairs. First a few of its members are compared with all others, which joins the
+   near copies in it. Then the members of lists that still hold several classes are compared across classes, by sketches
+   and block by block inside tasks: two sets cannot share more than the sum, over the slots of a sketch, of the smaller of
+   their counts. Only pairs that this leaves possible come out. So every two sets that share a key are compared unless a
+   class already joins them.
 5. Candidates are verified on their whole sets, which meet in tasks by the smaller signature, salted where it is in many
    pairs. Components of the verified links are the classes.
 """
@@ -17,7 +19,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,18 +26,24 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfledger.llm.common import Stage
 from shelfledger.llm.graph import components
+from shelfledger.llm.grouping import grouped
 from shelfledger.llm.shingles import mixed, shingle_sets, signature
 
 #: Part of the hash range in which shingles are counted.
 COUNTED_PART = 0.25
 #: Lists shorter than this are never put last; at most this many shingles are.
-LONG_LIST, MAX_LONG_LISTS = 32, 1 << 20
+LONG_LIST, MAX_LONG_LISTS = 8, 1 << 20
 #: What comparing two sets costs, in rows of an index.
 PAIR_COST = 2.0
-LEADERS, GROWTH = 8, 4
+LEADERS = 8
+#: Longer lists are scanned block by block.
+BLOCK_ROWS = 1024
+#: Keys that a set carries into the scan, so that a pair comes out of one list and not of each that it shares.
+CARRIED_KEYS = 64
 PAIRS_PER_TASK = 2000
 FILTER_BITS = 1 << 24
 LARGEST_BOUNDARY = 256
+MIN_SLOTS, MAX_SLOTS, FULL = 32, 8192, 255
 SUBSET_MARK = np.uint64(0xA0761D6478BD642F)
 
 
@@ -104,17 +111,131 @@ def _rows(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return documents.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each slot of about two; a count of FULL says no more than that."""
+    slots = int(np.clip(1 << (len(shingles) // 2).bit_length(), MIN_SLOTS, MAX_SLOTS))
+    counts = np.bincount((shingles & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+    return np.minimum(counts, FULL).astype(np.uint8).tobytes()
+
+
+def folded(sketches: np.ndarray, slots: int) -> np.ndarray:
+    """The counts in fewer slots."""
+    return sketches.reshape(len(sketches), -1, slots).sum(1, dtype=np.int32)
+
+
+def may_hold(threshold: Threshold, a: np.ndarray, b: np.ndarray, sizes_a, sizes_b) -> np.ndarray:
+    """For rows of sketches, or one and rows: whether the sets can be as similar as the threshold asks."""
+    slots = min(a.shape[1], b.shape[1])
+    most = np.minimum(folded(a, slots), folded(b, slots)).sum(1)
+    unknown = (a == FULL).any(1) | (b == FULL).any(1)
+    return unknown | (threshold.denominator * most >= threshold.numerator * (sizes_a + sizes_b - most))
+
+
 def _sets(rows: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, sig (null for a text without words)."""
+    """doc_id, n_shingles, sig and sketch (null for a text without words)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(shingle_sets(batch.column(1), size))
-            counts = pa.array([len(s) for s in sets], pa.int64())
-            sigs = pa.array([signature(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), counts, sigs], ["doc_id", "n_shingles", "sig"])
+            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64())]
+            columns.append(pa.array([signature(s) if len(s) else None for s in sets], pa.int64()))
+            columns.append(pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "sig", "sketch"])
+
+    doc_id = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(scan, f"doc_id {doc_id}, n_shingles bigint, sig bigint, sketch binary")
+
+
+def _by_slots(sketches: list[bytes]) -> dict[int, np.ndarray]:
+    """Rows by the number of their slots."""
+    lengths = np.array([len(x) for x in sketches])
+    return {int(n): np.flatnonzero(lengths == n) for n in np.unique(lengths)}
+
 
-    return rows.mapInArrow(scan, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles bigint, sig bigint")
+def _matrix(sketches: list[bytes], rows: np.ndarray) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches[n] for n in rows.tolist()), np.uint8).reshape(len(rows), -1)
+
+
+def _pruned(pairs: DataFrame, owners: DataFrame, threshold: Threshold) -> DataFrame:
+    """Pairs whose sketches leave them possible."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            sizes = [batch.column(n).to_numpy() for n in (4, 5)]
+            possible = np.zeros(batch.num_rows, bool)
+            for left in _by_slots(a).values():
+                for right in _by_slots([b[n] for n in left.tolist()]).values():
+                    rows = left[right]
+                    possible[rows] = may_hold(threshold, _matrix(a, rows), _matrix(b, rows), *(x[rows] for x in sizes))
+            yield batch.select(["a", "b"]).filter(pa.array(possible))
+
+    for name in ("a", "b"):
+        columns = [F.col(x).alias(f"{x}_{name}") for x in ("sketch", "n")]
+        pairs = pairs.join(owners.select(F.col("sig").alias(name), *columns), name)
+    return pairs.select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(compare, "a bigint, b bigint")
+
+
+def _met_before(key: int, rows: list[dict]) -> np.ndarray:
+    """Which rows of a list share a smaller key, by the keys they carry; that key's list gives the pair."""
+    met = np.zeros((len(rows), len(rows)), bool)
+    counts = [sum(k < key for k in row["keys"]) for row in rows]  # keys are in order
+    owner = np.repeat(np.arange(len(rows)), counts)
+    smaller = np.concatenate([np.empty(0, np.int64), *(row["keys"][:n] for row, n in zip(rows, counts, strict=True))])
+    order = np.argsort(smaller, kind="stable")
+    cuts = np.flatnonzero(np.diff(smaller[order])) + 1
+    for part in np.split(owner[order], cuts):
+        if len(part) > 1:
+            met[np.ix_(part, part)] = True
+    return met
+
+
+def _across(key: tuple, rows: list[dict], threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Possible pairs of different classes in a list, or between two blocks of it."""
+    number, low, high = key
+    met = _met_before(number, rows)
+    sigs, sizes, roots, blocks = (np.array([row[x] for row in rows]) for x in ("sig", "n", "root", "block"))
+    sketches = [row["sketch"] for row in rows]
+    by_slots = {n: (at, _matrix(sketches, at)) for n, at in _by_slots(sketches).items()}
+    left, right = [], []
+    for slots, (at, matrix) in by_slots.items():
+        for n, row in enumerate(at.tolist()):
+            if blocks[row] != low:
+                continue
+            for other_slots, (others, other) in by_slots.items():
+                fits = threshold.denominator * np.minimum(sizes[others], sizes[row]) >= threshold.numerator * np.maximum(
+                    sizes[others], sizes[row]
+                )
+                fits &= (roots[others] != roots[row]) & (blocks[others] == high) & ~met[row, others]
+                if low == high:
+                    fits &= sigs[others] > sigs[row]
+                if fits.any():
+                    possible = may_hold(threshold, matrix[n : n + 1], other[fits], sizes[row], sizes[others[fits]])
+                    found = others[fits][possible]
+                    left.append(np.full(len(found), sigs[row]))
+                    right.append(sigs[found])
+    empty = np.empty(0, np.int64)
+    left, right = np.concatenate([empty, *left]), np.concatenate([empty, *right])
+    return np.minimum(left, right), np.maximum(left, right)
+
+
+def _scanned(members: DataFrame, owners: DataFrame, threshold: Threshold) -> DataFrame:
+    """Possible pairs of different classes in the lists of members (key, sig, n, root); long lists in blocks."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    keys = F.slice(F.sort_array(F.collect_list("key")), 1, CARRIED_KEYS).alias("keys")
+    carried = members.groupBy("sig").agg(keys).join(owners.select("sig", "sketch"), "sig")
+    rows = members.join(sizes, "key").join(carried, "sig")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("sig"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    rows = rows.select("key", low, high, "sig", "n", "root", "block", "sketch", "keys")
+    rows = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, table in grouped(batches, 3):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _across(key, table.to_pylist(), threshold)], ["a", "b"])
+
+    return rows.mapInArrow(scan, "a bigint, b bigint")
 
 
 def _long_lists(rows: DataFrame, size: int, stage: Stage) -> tuple[np.ndarray, float]:
@@ -178,12 +299,11 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
     return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
 
 
-def _wanted_sets(rows: DataFrame, docs: DataFrame, pairs: DataFrame, size: int, stage: Stage) -> DataFrame:
-    """sig, shingles (as bytes) of the sets in pairs: one text of each is read again and hashed."""
+def _wanted_sets(rows: DataFrame, owners: DataFrame, pairs: DataFrame, size: int, stage: Stage) -> DataFrame:
+    """sig, shingles (as bytes) of the sets in pairs: one text of each is read again and hashed. May hold others too."""
     sigs = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
-    owners = docs.where("sig is not null").groupBy("sig").agg(F.min(F.xxhash64("doc_id")).alias("hash"))
-    owners = stage(owners.join(sigs, "sig", "left_semi"))
-    shared = rows.sparkSession.sparkContext.broadcast(_filter_of(owners))
+    filtered = _filter_of(owners.select("sig", "hash").join(sigs, "sig", "left_semi"))
+    shared = rows.sparkSession.sparkContext.broadcast(filtered)  # FILTER_BITS flags
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,73 +311,65 @@ def _wanted_sets(rows: DataFrame, docs: DataFrame, pairs: DataFrame, size: int,
             at = np.flatnonzero(shared.value[hashes & (FILTER_BITS - 1)])
             if len(at):
                 sets = list(shingle_sets(batch.column(1).take(pa.array(at)), size))
-                columns = [pa.array(hashes[at]), pa.array([signature(s) for s in sets], pa.int64())]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([s.tobytes() for s in sets])], ["hash", "sig", "shingles"])
+                columns = [pa.array([signature(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets])]
+                yield pa.RecordBatch.from_arrays(columns, ["sig", "shingles"])
 
     hashed = rows.select(F.xxhash64("doc_id").alias("hash"), "text")
-    read = hashed.mapInArrow(scan, "hash bigint, sig bigint, shingles binary")
-    return stage(read.join(owners, ["hash", "sig"], "left_semi").dropDuplicates(["sig"]).select("sig", "shingles"))
+    return hashed.mapInArrow(scan, "sig bigint, shingles binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
     """The pairs that hold. Partners of one set stream past it; a set with many is in several tasks."""
     tasks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_TASK).cast("int").alias("tasks"))
-    kept = tasks.select(F.col("a").alias("sig"), F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("part"))
-    kept = kept.join(sets, "sig").select(F.col("sig").alias("a"), "part", F.lit(None).cast("bigint").alias("b"), "shingles")
-    moved = pairs.join(tasks, "a").select("a", F.pmod(F.xxhash64("b"), "tasks").cast("int").alias("part"), "b")
-    moved = moved.join(sets.withColumnRenamed("sig", "b"), "b").select("a", "part", "b", "shingles")
-    together = kept.union(moved).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    part = F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("part")
+    kept = tasks.select(F.col("a").alias("sig"), "a", part, F.lit(True).alias("own"))
+    part = F.pmod(F.xxhash64("b"), "tasks").cast("int").alias("part")
+    moved = pairs.join(tasks, "a").select(F.col("b").alias("sig"), "a", part, F.lit(False).alias("own"))
+    together = kept.union(moved).join(sets, "sig").select("a", "part", "own", "sig", "shingles")
+    together = together.repartition("a", "part").sortWithinPartitions("a", "part", F.desc("own"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, own = None, np.empty(0, np.uint64)
         for batch in batches:
             left, right = [], []
             for n in range(batch.num_rows):
-                sig, b = batch.column(0)[n].as_py(), batch.column(2)[n].as_py()
-                shingles = np.frombuffer(batch.column(3)[n].as_buffer(), np.uint64)
-                if b is None:
-                    a, own = sig, shingles.copy()
-                elif a == sig:
+                leader, sig = batch.column(0)[n].as_py(), batch.column(3)[n].as_py()
+                shingles = np.frombuffer(batch.column(4)[n].as_buffer(), np.uint64)
+                if batch.column(2)[n].as_py():
+                    a, own = leader, shingles.copy()
+                elif a == leader:
                     places = np.minimum(np.searchsorted(own, shingles), len(own) - 1)
                     if threshold.holds(int((own[places] == shingles).sum()), len(own), len(shingles)):
                         left.append(a)
-                        right.append(b)
+                        right.append(sig)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     return together.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _classes(rows: DataFrame, docs: DataFrame, size: int, threshold: Threshold, stage: Stage) -> DataFrame:
+def _linked(rows: DataFrame, owners: DataFrame, pairs: DataFrame, size: int, threshold: Threshold, stage: Stage) -> DataFrame:
+    return stage(_verified(pairs, _wanted_sets(rows, owners, pairs, size, stage), threshold))
+
+
+def _classes(rows: DataFrame, owners: DataFrame, size: int, threshold: Threshold, stage: Stage) -> DataFrame:
     """node (a signature), root: the classes of different sets."""
-    members = _index(rows, size, threshold, stage).withColumn("root", F.col("sig"))
-    leaders_before: list[DataFrame] = []
-    links: list[DataFrame] = []
-    take = LEADERS
-    while True:
-        main = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("held")).groupBy("key")
-        main = main.agg(F.max_by("root", F.struct("held", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-        members = stage(members.join(main.where("roots > 1").select("key", "main"), "key"))
-        waiting = members.where("root <> main")
-        for before in leaders_before:
-            waiting = waiting.join(before, ["key", "sig"], "left_anti")
-        by_key = Window.partitionBy("key").orderBy("sig")
-        waiting = waiting.select("key", "sig", "n", "root", F.row_number().over(by_key).alias("place"))
-        leaders = stage(waiting.where(F.col("place") <= take + 1))
-        open_keys = leaders.where(F.col("place") == take + 1).select("key")
-        leaders = leaders.where(F.col("place") <= take)
-        led = leaders.select("key", *(F.col(name).alias(f"led_{name}") for name in ("sig", "n", "root")))
-        pairs = members.join(led, "key").where(F.col("root") != F.col("led_root"))
-        pairs = pairs.where(threshold.sizes_fit(F.col("n"), F.col("led_n")))
-        pairs = stage(pairs.select(F.least("sig", "led_sig").alias("a"), F.greatest("sig", "led_sig").alias("b")).distinct())
-        links.append(stage(_verified(pairs, _wanted_sets(rows, docs, pairs, size, stage), threshold)))
-        classes = components(reduce(DataFrame.union, links), stage)
-        if open_keys.isEmpty():
-            return classes
-        leaders_before.append(leaders.select("key", "sig"))
-        left = members.drop("root", "main").join(open_keys, "key", "left_semi")
-        left = left.join(classes.withColumnRenamed("node", "sig"), "sig", "left")
-        members = left.withColumn("root", F.coalesce("root", "sig"))
-        take *= GROWTH
+    members = _index(rows, size, threshold, stage)
+    place = F.row_number().over(Window.partitionBy("key").orderBy("sig"))
+    leaders = members.withColumn("place", place).where(F.col("place") <= LEADERS)
+    leaders = leaders.select("key", F.col("sig").alias("a"), F.col("n").alias("led"))
+    pairs = members.join(leaders, "key").where(F.col("sig") > F.col("a")).where(threshold.sizes_fit(F.col("n"), F.col("led")))
+    pairs = stage(_pruned(pairs.select("a", F.col("sig").alias("b")).distinct(), owners, threshold))
+    links = _linked(rows, owners, pairs, size, threshold, stage)
+    classes = components(links, stage)
+    # In lists of up to LEADERS + 1 members, these were all pairs.
+    named = members.join(classes.withColumnRenamed("node", "sig"), "sig", "left")
+    named = named.withColumn("root", F.coalesce("root", "sig"))
+    held = named.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("root").alias("least"), F.max("root").alias("most"))
+    several = held.where((F.col("held") > LEADERS + 1) & (F.col("least") != F.col("most"))).select("key")
+    rest = stage(named.join(several, "key"))
+    more = stage(_scanned(rest, owners, threshold).distinct())
+    more = _linked(rows, owners, more, size, threshold, stage)
+    return components(more.union(classes.select(F.col("node").alias("a"), F.col("root").alias("b"))), stage)
 
 
 def ngram_join(
@@ -279,7 +391,9 @@ def ngram_join(
     stage = Stage(documents.sparkSession)
     rows = _rows(documents, id_column, text_column)
     docs = stage(_sets(rows, size))
-    classes = stage(_classes(rows, docs, size, Threshold(numerator, denominator), stage))
+    owners = docs.where("sig is not null").groupBy("sig")
+    owners = stage(owners.agg(F.min(F.xxhash64("doc_id")).alias("hash"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n")))
+    classes = stage(_classes(rows, owners, size, Threshold(numerator, denominator), stage))
     sigs = docs.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     sigs = sigs.join(classes.withColumnRenamed("node", "sig"), "sig", "left")
     sigs = stage(sigs.select("sig", "least", F.coalesce("root", "sig").alias("root")))

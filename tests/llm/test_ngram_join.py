@@ -12,7 +12,7 @@ from hypothesis import given, strategies as st
 from shelfledger.llm import ngram_join as join
 from shelfledger.llm.common import Stage, table
 from shelfledger.llm.graph import components
-from shelfledger.llm.shingles import shingle_sets
+from shelfledger.llm.shingles import mixed, shingle_sets
 
 
 def plain_set(text, size):
@@ -79,6 +79,20 @@ def test_shingles_equal_plain_ones(texts, size):
         assert len(np.intersect1d(x, y)) == len(plain_set(a, size) & plain_set(b, size))
 
 
+@given(st.sets(st.integers(0, 300)), st.sets(st.integers(0, 300)), st.integers(1, 100))
+def test_sketches_never_lose_a_pair(a, b, numerator):
+    sets = [np.sort(mixed(np.array(sorted(x), np.uint64))) for x in (a, b)]
+    rows = [np.frombuffer(join.sketch(s), np.uint8)[None] for s in sets]
+    threshold = join.Threshold(numerator, 100)
+    if threshold.holds(len(a & b), len(a), len(b)):
+        assert join.may_hold(threshold, *rows, len(a), len(b))[0]
+
+
+def test_full_sketches_are_kept():
+    full, other = np.full((1, 64), join.FULL, np.uint8), np.ones((1, 32), np.uint8)
+    assert join.may_hold(join.Threshold(85, 100), full, other, 100_000, 32)[0]
+
+
 def test_sliced_and_long_columns():
     texts = pa.array(["skip", None, "a b c d e " * 30_000, "a b c d e", "x" * 300_000])
     assert [len(s) for s in shingle_sets(texts.slice(1), 4)] == [0, 5, 2, 1]
@@ -87,7 +101,9 @@ def test_sliced_and_long_columns():
 @pytest.mark.parametrize(("size", "numerator", "denominator"), [(4, 85, 100), (5, 80, 100), (2, 50, 100)])
 def test_against_all_pairs(spark, size, numerator, denominator, monkeypatch):
     monkeypatch.setattr(join, "LONG_LIST", 4)
-    monkeypatch.setattr(join, "LEADERS", 2)
+    monkeypatch.setattr(join, "LEADERS", 1)
+    monkeypatch.setattr(join, "BLOCK_ROWS", 9)
+    monkeypatch.setattr(join, "CARRIED_KEYS", 3)
     monkeypatch.setattr(join, "PAIRS_PER_TASK", 5)
     rows = corpus(size)
     options = {"size": size, "numerator": numerator, "denominator": denominator}
