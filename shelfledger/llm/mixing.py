@@ -58,6 +58,8 @@ def topic_centres(documents: DataFrame, topics: int = TOPICS, sample: int = TOPI
     if not found.num_rows:
         return np.zeros((1, WORD_SLOTS))
     points = np.stack(found.column("shares").to_numpy())[np.argsort(found.column("at").to_numpy(), kind="stable")]
+    del found
+    pa.default_memory_pool().release_unused()
     centres = points[:1]
     while len(centres) < topics:  # the point furthest from all centres so far
         centres = np.vstack([centres, points[np.argmin((points @ centres.T).max(1))]])

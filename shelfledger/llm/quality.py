@@ -208,7 +208,10 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column
     order = np.argsort(found.column("id").to_numpy(), kind="stable")
     views = tuple(np.stack(found.column(name).to_numpy())[order] for name in ("text", "page"))
     quality = found.column("quality").to_numpy()[order].astype(np.float64)
-    return co_train(views, quality, found.column("calibrates").to_numpy()[order].astype(bool))
+    calibrates = found.column("calibrates").to_numpy()[order].astype(bool)
+    del found
+    pa.default_memory_pool().release_unused()
+    return co_train(views, quality, calibrates)
 
 
 def score(documents: DataFrame, model: CoTrained | None, carried: list[str] | None = None) -> DataFrame:
