@@ -43,6 +43,25 @@ def test_recall_of_the_tables(cosine, recall):
     assert by_chance < 40 * itq.BUCKET_ROWS
 
 
+@pytest.mark.parametrize("n", [131_072, 10**6, 10**8, 10**10])
+def test_recall_at_any_size(n):
+    a, b = pairs_at(np.random.default_rng(4), 2000, 64, 0.901)
+    model = itq.Quantizer(np.vstack([a, b])[::4], itq.substring_bits(n))
+    assert (model.codes(a) == model.codes(b)).any(1).mean() >= 0.9
+
+
+def test_more_tables_for_one_length_than_for_another(spark, monkeypatch):
+    monkeypatch.setattr(itq, "substring_bits", lambda n: 16 if n > 100 else 4)
+    rng = np.random.default_rng(5)
+    rows = []
+    for dim, pairs in ((64, 200), (24, 30)):
+        near = np.vstack(pairs_at(rng, pairs, dim, 0.99))
+        rows += [(1000 * dim + n % pairs + 500 * (n >= pairs), v.tolist()) for n, v in enumerate(near)]
+    got = {r.vec_id: r for r in itq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert itq.tables(16) > itq.tables(4) == itq.TABLES
+    assert all(got[i].n_links == 1 and got[i].component_id == i - 500 * (i % 1000 >= 500) for i, _ in rows)
+
+
 def test_codes_are_balanced():
     rng = np.random.default_rng(2)
     units = itq.unit(rng.normal(size=(5000, 32)) + 0.5)
