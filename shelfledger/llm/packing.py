@@ -31,7 +31,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 @cache
 def encoding(vocabulary: str) -> tiktoken.Encoding:
-    """A byte-level BPE vocabulary file as an encoder; its special tokens' strings are ordinary text.
+    """A byte-level BPE vocabulary file as an encoder; ``encode_all`` gives the ids that the file gives.
 
     The file writes each byte as a printable character: itself if printable, else the next one from 256 on.
     """
@@ -40,13 +40,18 @@ def encoding(vocabulary: str) -> tiktoken.Encoding:
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte_of = {chr(b): b for b in plain}
     byte_of |= {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in set(plain))}
-    special = {token["content"] for token in content.get("added_tokens", [])}
+    special = {token["content"]: token["id"] for token in content.get("added_tokens", [])}
     ranks = {
         bytes(byte_of[char] for char in token): rank
         for token, rank in content["model"]["vocab"].items()
         if token not in special
     }
-    return tiktoken.Encoding(vocabulary, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(vocabulary, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
+
+
+def encode_all(vocabulary: str, text: str) -> list[int]:
+    """The ids of a whole text; the strings of added tokens are those tokens."""
+    return encoding(vocabulary).encode(text, allowed_special="all")
 
 
 def cuts(length: int, capacity: int) -> list[int]:
@@ -61,11 +66,10 @@ def token_pieces(
     rows = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(vocabulary).encode_ordinary
         for batch in batches:
             owners, pieces, starts, lengths, sums, ids = [], [], [], [], [], []
             for at, text in enumerate(batch.column(1)):
-                tokens = np.array([*encode(text.as_py()), end_id], "<u4")
+                tokens = np.array([*encode_all(vocabulary, text.as_py()), end_id], "<u4")
                 begins = cuts(len(tokens), capacity)
                 for piece, (begin, end) in enumerate(zip(begins, [*begins[1:], len(tokens)], strict=True)):
                     part = tokens[begin:end]

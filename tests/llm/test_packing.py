@@ -29,6 +29,24 @@ def test_odd_texts(text):
     assert packing.encoding(VOCABULARY).encode_ordinary(text) == REFERENCE.encode(text, add_special_tokens=False).ids
 
 
+AS_IN_FILE = Tokenizer.from_file(VOCABULARY)
+ADDED = st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "\n", "a", "é", "12", "'s"]), max_size=12)
+
+
+@settings(deadline=None)
+@given(ADDED.map("".join))
+def test_added_tokens_equal_those_of_the_vocabulary_file(text):
+    assert packing.encode_all(VOCABULARY, text) == AS_IN_FILE.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_documents(spark):
+    text = "a <|endoftext|> b"
+    (row,) = packing.pack_documents(spark.createDataFrame([(1, text)], "doc_id long, text string"), VOCABULARY).collect()
+    ids = [*AS_IN_FILE.encode(text, add_special_tokens=False).ids, 2]
+    assert list(row.ids) == ids == [64, 220, 50256, 275, 2]
+    assert (row.length, row.ids_crc32) == (5, zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_long_words_are_not_quadratic():
     began = time.time()
     packing.encoding(VOCABULARY).encode_ordinary("ab" * 500_000)
