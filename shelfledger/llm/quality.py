@@ -1,6 +1,6 @@
 """Quality scores by co-training two classifiers, one on the text and one on what is known about the page.
 
-Both are logistic regressions, fitted on a bounded sample of documents. In each round, either gives the labels it is most
+Both are logistic regressions, fitted on bounded samples of documents with and without label. In each round, either gives the labels it is most
 sure of, on documents without a label, to the other. Each view is calibrated on labelled documents that no round trained
 on, and a third regression combines the calibrated views. All documents are then scored in one pass.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfledger.llm.shingles import runs, word_hashes
 
-#: Documents to fit on, on average; never more than twice as many.
+#: Documents to fit on, on average: so many with a label, and so many without; of either never more than twice as many.
 SAMPLE = 20_000
 ROUNDS, SURE, GIVEN_SHARE = 3, 0.95, 0.1
 #: Every fifth labelled document calibrates.
@@ -179,20 +179,26 @@ def _prepared(documents: DataFrame) -> DataFrame:
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id") -> CoTrained | None:
-    """Fit on the documents whose id hashes into a fixed part of the hash range, about ``sample`` of them.
+    """Fit on about ``sample`` documents with a label and as many without, each chosen by a fixed part of their ids' hashes.
 
-    Labels that are null or contradict each other are left out. Ids that are null take no part.
+    Labels that are null or contradict each other are left out. Ids that are null take no part. Only ids meet the labels;
+    texts meet the ids that are chosen.
     """
     rows = documents.where(F.col(id_column).isNotNull())
-    share = min(1.0, sample / max(1, rows.count()))
-    hashed = F.pmod(F.xxhash64(F.col(id_column).cast("long")), F.lit(1 << 40))
-    chosen = rows.where(hashed < int(share * (1 << 40)))
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
-    known = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << 40)) < int(share * (1 << 40)))
-    known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_quality"), F.max("quality").alias("_most"))
+    known = known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").alias("_quality"), F.max("quality").alias("_most"))
     known = known.where("_quality = _most").select("_id", F.col("_quality").cast("double").alias("_quality"))
-    prepared = _prepared(chosen.select(F.col(id_column).cast("long").alias("_id"), *[c for c in ("text", "source", "lang", "n_chars") if c in documents.columns]))
-    prepared = prepared.join(known, "_id", "left").withColumn("_calibrates", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(CALIBRATION)) == 0)
+    ids = rows.select(F.col(id_column).cast("long").alias("_id")).join(known, "_id", "left")
+    counts = {row.labelled: row.n for row in ids.groupBy(F.col("_quality").isNotNull().alias("labelled")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    hashed = F.pmod(F.xxhash64("_id"), F.lit(1 << 40))
+    columns = [F.col(id_column).cast("long").alias("_id"), *[c for c in ("text", "source", "lang", "n_chars") if c in documents.columns]]
+    calibrates = (F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(CALIBRATION)) == 0).alias("_calibrates")
+
+    def chosen(labelled: bool) -> DataFrame:
+        share = min(1.0, sample / max(1, counts.get(labelled, 0)))
+        some = ids.where((F.col("_quality").isNotNull() == labelled) & (hashed < int(share * (1 << 40)))).dropDuplicates(["_id"])
+        return _prepared(rows.select(columns).join(F.broadcast(some), "_id")).withColumn("_calibrates", calibrates)  # about sample ids
+
     names = ["_id", "_quality", "_calibrates", "_text", "_source", "_lang", "_n_chars", "_n_lines"]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +208,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in range(3)), *lists], ["id", "quality", "calibrates", "text", "page"])
 
     schema = "id long, quality double, calibrates boolean, text array<float>, page array<float>"
-    found = prepared.select(names).mapInArrow(features, schema).limit(2 * sample).toArrow()
+    found = [chosen(labelled).select(names).mapInArrow(features, schema).limit(2 * sample).toArrow() for labelled in (True, False)]
+    found = pa.concat_tables(found)
     if not found.num_rows:
         return None
     order = np.argsort(found.column("id").to_numpy(), kind="stable")
@@ -240,7 +247,7 @@ def score(documents: DataFrame, model: CoTrained | None, carried: list[str] | No
 
 
 def classify(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, carried: list[str] | None = None) -> DataFrame:
-    """Fit on a bounded sample and score all documents; see :func:`fit` and :func:`score`.
+    """Fit on bounded samples and score all documents; see :func:`fit` and :func:`score`.
 
     Columns used: doc_id, text, source, lang, n_chars; of labels: doc_id, quality. Rows with null or repeated ids are scored
     as any. Without labels of both kinds, every document scores 0.5 and is kept.

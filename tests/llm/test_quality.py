@@ -84,3 +84,12 @@ def test_rows(spark, quality_of):
         assert all(r.score > 0.5 for r in rows if r.doc_id in (161, 163)) and all(r.score < 0.5 for r in rows if r.doc_id in (160, 162))
     assert quality.classify(documents.limit(0), labels).collect() == []
     assert quality.classify(documents.select("doc_id", "text"), labels.limit(0)).count() == 204
+
+
+def test_labels_that_do_not_grow_with_the_documents(spark):
+    """Of few labels among many documents, all that the sample has room for are used."""
+    texts = [(n, ("GO!! " if n % 2 else "quiet words here ") * (10 + n % 30), "s", "en", 150) for n in range(3000)]
+    documents = spark.createDataFrame(texts, "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(60)] + [(n, n % 2) for n in range(10_000, 20_000)], "doc_id long, quality int")
+    rows = quality.classify(documents, labels, sample=100).collect()
+    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in rows) and len(rows) == 3000
