@@ -24,6 +24,8 @@ TOLERANCE, MAX_ROUNDS = 1e-3, 30
 KEPT_TOKENS = 0.8
 SEED = 17
 TOPICS, WORD_SLOTS, TOPIC_SAMPLE, TOPIC_STEPS = 6, 64, 10_000, 20
+#: Passes end when no number of a centre moves by so much. Sums are added in units of 1 / SUM_UNITS.
+TOPIC_MOVE, SUM_UNITS = 1e-4, 1 << 30
 STEPS_PER_OCTAVE = 64
 
 
@@ -43,30 +45,77 @@ def word_shares(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(counts), np.concatenate(shares)
 
 
+def first_centres(shares: DataFrame, n: int, topics: int, sample: int) -> np.ndarray:
+    """Points of a bounded sample, by their hashes, that lie far from each other, then moved to the middle of their own."""
+    part = F.col("at") < int(min(1.0, sample / n) * (1 << 40))
+    found = shares.where(part).limit(2 * sample).toArrow()
+    if not found.num_rows:
+        found = shares.limit(1).toArrow()
+    points = np.stack(found.column("shares").to_numpy())[np.argsort(found.column("at").to_numpy(), kind="stable")]
+    del found
+    pa.default_memory_pool().release_unused()
+    centres = points[:1]
+    while len(centres) < topics:  # the point furthest from all centres so far
+        centres = np.vstack([centres, points[np.argmin((points @ centres.T).max(1))]])
+    for _ in range(TOPIC_STEPS):
+        centres = moved(centres, *sums_by_centre(points, centres))
+    return centres
+
+
+def sums_by_centre(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of the points nearest to each centre, and their number."""
+    nearest = (points @ centres.T).argmax(1)
+    return np.stack([points[nearest == n].sum(0) for n in range(len(centres))]), np.bincount(nearest, minlength=len(centres))
+
+
+def moved(centres: np.ndarray, sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The directions of the sums; a centre without points stays."""
+    sums = np.where(counts[:, None] > 0, sums, centres)
+    return sums / np.maximum(1e-12, np.linalg.norm(sums, axis=1))[:, None]
+
+
 def topic_centres(documents: DataFrame, topics: int = TOPICS, sample: int = TOPIC_SAMPLE) -> np.ndarray:
-    """Centres of topics among a bounded sample: documents whose id hashes into a fixed part of the range."""
-    share = min(1.0, sample / max(1, documents.count()))
+    """Centres of topics: begun on a bounded sample, then moved by passes over all documents until they stay.
+
+    There are TOPIC_STEPS passes at most. The word shares are written once. A pass brings the driver one row of sums for each centre.
+    """
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    spark = documents.sparkSession
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, shares = word_shares(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(shares), pa.list_(pa.float64()))], ["at", "shares"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(shares), pa.list_(pa.float32()))], ["at", "shares"])
 
-    rows = documents.where(hashed < int(share * (1 << 40))).select(hashed.alias("at"), F.col("text").cast("string").alias("text"))
-    found = rows.mapInArrow(vectors, "at long, shares array<double>").limit(2 * sample).toArrow()
-    if not found.num_rows:
+    rows = documents.select(hashed.alias("at"), F.col("text").cast("string").alias("text"))
+    shares = Stage(spark)(rows.mapInArrow(vectors, "at long, shares array<float>"))
+    n = shares.count()
+    if not n:
         return np.zeros((1, WORD_SLOTS))
-    points = np.stack(found.column("shares").to_numpy())[np.argsort(found.column("at").to_numpy(), kind="stable")]
-    del found
-    pa.default_memory_pool().release_unused()
-    centres = points[:1]
-    while len(centres) < topics:  # the point furthest from all centres so far
-        centres = np.vstack([centres, points[np.argmin((points @ centres.T).max(1))]])
+    centres = first_centres(shares, n, topics, sample)
+    points = shares.select("shares")
     for _ in range(TOPIC_STEPS):
-        nearest = (points @ centres.T).argmax(1)
-        sums = np.stack([points[nearest == n].sum(0) if (nearest == n).any() else centres[n] for n in range(topics)])
-        centres = sums / np.maximum(1e-12, np.linalg.norm(sums, axis=1))[:, None]
+        shared = spark.sparkContext.broadcast(centres)
+
+        def sums(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            totals, counts = np.zeros(shared.value.shape), np.zeros(len(shared.value), np.int64)
+            for batch in batches:
+                flat = batch.column(0).flatten().to_numpy().astype(np.float64)
+                more = sums_by_centre(flat.reshape(-1, WORD_SLOTS), shared.value)
+                totals, counts = totals + more[0], counts + more[1]
+            columns = [pa.array(np.arange(len(counts)), pa.int32()), pa.array(counts), pa.array(list(totals), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["centre", "n", "sums"])
+
+        found = points.mapInArrow(sums, "centre int, n long, sums array<double>").select("centre", "n", F.posexplode("sums").alias("slot", "sum"))
+        # Summed as whole numbers, so that the order of tasks changes nothing.
+        found = found.groupBy("centre", "slot").agg(F.sum("n").alias("n"), F.sum(F.round(F.col("sum") * SUM_UNITS).cast("decimal(38,0)")).alias("sum"))
+        totals, counts = np.zeros(centres.shape), np.zeros(len(centres), np.int64)
+        for row in found.collect():
+            totals[row.centre, row.slot], counts[row.centre] = float(row.sum) / SUM_UNITS, row.n
+        shared.unpersist()
+        before, centres = centres, moved(centres, totals, counts)
+        if np.abs(centres - before).max() < TOPIC_MOVE:
+            break
     return centres
 
 

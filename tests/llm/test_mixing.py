@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +86,17 @@ def test_rows(spark):
     assert "m_source" in got[0] and next(r for r in got if r.doc_id is None).m_source == ""
     assert mixing.mix(df.limit(0)).collect() == []
     assert mixing.mix(df.where(F.col("text").isNull())).count() == 1
+
+
+def test_centres_come_from_all_documents(spark):
+    """Those of a few sampled documents, or of many, end at the means of all documents."""
+    rng = np.random.default_rng(6)
+    texts = [(n, " ".join(f"t{n % 3}w{w}" for w in rng.integers(0, 5, 20))) for n in range(900)]
+    texts += [(900 + n, " ".join(f"rare{w}" for w in rng.integers(0, 5, 20))) for n in range(6)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    centres = mixing.topic_centres(df, topics=3, sample=30)
+    _, shares = mixing.word_shares(pa.array([text for _, text in texts]))
+    nearest = (shares @ centres.T).argmax(1)
+    for n, centre in enumerate(centres):
+        total = shares[nearest == n].sum(0)
+        assert np.abs(centre - total / np.linalg.norm(total)).max() < 1e-3
