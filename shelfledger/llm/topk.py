@@ -133,8 +133,8 @@ PAGE = "dim int, block int, page int, leaf boolean, numbers array<bigint>, point
 
 
 def build_trees(rows: DataFrame, blocks: Column, n_blocks: int) -> DataFrame:
-    """The pages of a tree for each block of each dimension."""
-    block = F.pmod(F.xxhash64("vec_id"), blocks).cast("int")
+    """The pages of a tree for each block of each dimension. Rows are dealt by their numbers too, as many may have one id."""
+    block = F.pmod(F.xxhash64("vec_id", "numbers", "row"), blocks).cast("int")
     dealt = rows.select("dim", block.alias("block"), "vec_id", "numbers")
     dealt = dealt.repartition(min(n_blocks, MAX_TASKS), "dim", "block").sortWithinPartitions("dim", "block", "vec_id")
 
@@ -193,7 +193,8 @@ def top_k(
     by the smallest of their vectors, but as many candidates as rows. Scores must fit into a long. Other columns are ignored.
     """
     stage = Stage(vectors.sparkSession)
-    rows = stage(quantized(vectors, id_column, vector_column))
+    # The row numbers are fixed by writing them.
+    rows = stage(quantized(vectors, id_column, vector_column).withColumn("row", F.monotonically_increasing_id()))
     asked = rows.where(F.col("vec_id") % every == 0).groupBy("dim", "vec_id").agg(F.min("numbers").alias("numbers"))
     asked = stage(asked.withColumnRenamed("vec_id", "query_id"))
     # One row for each length of vector.

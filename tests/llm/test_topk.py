@@ -3,6 +3,7 @@ from __future__ import annotations
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfledger.llm import topk
 from shelfledger.llm.common import table
@@ -80,3 +81,11 @@ def test_rows(spark):
     assert got == [(0, 1, 1, 131072), (0, 2, 7, 131072), (0, 3, 2, 0), (50, 1, 51, 786432)]
     assert topk.top_k(df.limit(0)).collect() == []
     assert topk.top_k(df.where("vec_id = 3")).collect() == []
+
+
+def test_rows_of_one_id_are_dealt_to_all_trees(spark):
+    """Also those with equal vectors: no tree holds many more than its share."""
+    rows = spark.createDataFrame([(n, 7, [1, 2]) for n in range(2000)], "row long, vec_id long, numbers array<bigint>")
+    pages = topk.build_trees(rows.withColumn("dim", F.size("numbers")), F.lit(10), 10).where("leaf")
+    held = [r.n for r in pages.groupBy("block").agg(F.sum(F.size("numbers")).alias("n")).collect()]
+    assert len(held) == 10 and sum(held) == 2000 and max(held) < 300
