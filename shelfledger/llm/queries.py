@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfledger.llm import html_text, itq, line_dedup, mixing, ngram_join, packing, pii, quality, topk, warc
+from shelfledger.llm import html_text, itq, line_dedup, mixing, ngram_join, packing, pieces, pii, quality, topk, warc
 from shelfledger.llm.common import Stage, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return pieces.digests(pieces.decode(encoded, PIECE_MODEL))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
@@ -70,5 +76,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_pii": op10_pii,
+    "op12_pieces": op12_pieces,
 }
 ORACLES: dict[str, str] = {"op3_topk": topk.ORACLE_SQL, "op6_line_dedup": line_dedup.ORACLE_SQL}
