@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfledger.llm import html_text, itq, line_dedup, mixing, ngram_join, packing, pieces, pii, quality, topk, warc
+from shelfledger.llm import conversations, html_text, itq, line_dedup, mixing, ngram_join, packing, pieces, pii, quality, topk, warc
 from shelfledger.llm.common import Stage, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,6 +65,10 @@ def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.decode(encoded, PIECE_MODEL))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit(conversations.damaged(table(spark, sf_dir, "conversations")), "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
@@ -77,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_pii": op10_pii,
     "op12_pieces": op12_pieces,
+    "op13_conversations": op13_conversations,
 }
 ORACLES: dict[str, str] = {"op3_topk": topk.ORACLE_SQL, "op6_line_dedup": line_dedup.ORACLE_SQL}
