@@ -3,12 +3,13 @@
 A model marks white space with ``▁``. If none of its pieces holds a mark after another character, no merge crosses the
 border in front of a run of marks, so a text's ids are those of its chunks, one after the other: a chunk is a run of marks
 with what follows up to the next one. Each task keeps a table of the distinct chunks that it met, segments each of them once
-and joins the ids back by position. The table is emptied when it reaches ``TABLE_CHARS`` characters, so a task's memory does
-not grow with its rows; texts are never moved.
+and joins the ids back by position. The table is bounded (``TABLE_CHUNKS``), so a task's memory does not grow with its rows,
+and texts are never moved: a table shared by all tasks would cost a shuffle of every word that occurs.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -21,54 +22,55 @@ from pyspark.sql import DataFrame, functions as F
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 CROSSING = re.compile(f"[^{MARK}]{MARK}")
-#: Characters of chunks in a task's table before it is emptied; a chunk longer than LONG_CHUNK is not kept in it.
-TABLE_CHARS, LONG_CHUNK = 8 << 20, 1 << 10
-#: Texts are returned in batches of about so many ids.
+#: Chunks in each of a task's two tables; longer chunks than LONG_CHUNK are not kept.
+TABLE_CHUNKS, LONG_CHUNK = 1 << 17, 1 << 8
+#: Ids are returned in batches of about so many.
 BATCH_IDS = 1 << 19
 
 
 class Segmenter:
-    """Encodes texts exactly as the library does, each distinct chunk once while it is in the table."""
+    """Encodes texts exactly as the library does, each distinct chunk once while it is in the table.
 
-    def __init__(self, model: str, table_chars: int = TABLE_CHARS):
+    A full table becomes the old one and a new one begins; what is met again moves over, so frequent chunks always stay.
+    """
+
+    def __init__(self, model: str, table_chunks: int = TABLE_CHUNKS):
         self.library = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.table_chars, self.table, self.held = table_chars, {}, 0
+        self.limit, self.table, self.old = table_chunks, {}, {}
         pieces = map(self.library.id_to_piece, range(len(self.library)))
         #: Whether chunks can be segmented one by one; otherwise whole texts are.
         self.by_chunk = not any(CROSSING.search(piece) for piece in pieces)
         mark = self.library.piece_to_id(MARK)
-        self.lone_mark = None if self.library.is_unknown(mark) else [mark]
+        if not self.library.is_unknown(mark):
+            self.table[MARK] = [mark]
         self.segmented = 0
 
-    def _segment(self, chunk: str) -> list[int] | None:
-        """The ids of a normalized chunk; None if no text by itself normalizes to it."""
-        if chunk == MARK:
-            return self.lone_mark
-        for text in (chunk[1:], chunk):
-            if self.library.normalize(text) == chunk:
-                self.segmented += 1
-                return self.library.encode(text)
-        return None
-
-    def _ids_of(self, chunk: str) -> list[int] | None:
-        ids = self._segment(chunk)
-        if len(chunk) <= LONG_CHUNK:
-            if self.held > self.table_chars:
-                self.table, self.held = {}, 0
-            self.table[chunk] = ids
-            self.held += len(chunk)
-        return ids
+    def _segment(self, chunks: list[str]) -> dict[str, list[int]]:
+        """The ids of chunks; those to which no text by itself is normalized are left out."""
+        found = {}
+        for cut in (1, 0):  # the library puts a mark in front of a text
+            left = [chunk for chunk in chunks if chunk not in found and len(chunk) > cut]
+            texts = [chunk[cut:] for chunk in left]
+            fits = [normal == chunk for normal, chunk in zip(self.library.normalize(texts), left, strict=True)] if left else []
+            left, texts = ([x for x, fit in zip(xs, fits, strict=True) if fit] for xs in (left, texts))
+            found |= zip(left, self.library.encode(texts, num_threads=1) if texts else [], strict=True)
+        self.segmented += len(found)
+        return found
 
     def encode(self, text: str) -> list[int]:
         if not self.by_chunk:
             return self.library.encode(text)
-        parts = []
-        for chunk in CHUNK.findall(self.library.normalize(text)):
-            ids = self.table.get(chunk)
-            if ids is None and (ids := self._ids_of(chunk)) is None:
-                return self.library.encode(text)
-            parts.append(ids)
-        return list(chain.from_iterable(parts))
+        chunks = CHUNK.findall(self.library.normalize(text))
+        own = {chunk: ids for chunk in set(chunks) if (ids := self.table.get(chunk) or self.old.get(chunk))}
+        if missing := [chunk for chunk in set(chunks) if chunk not in own]:
+            own |= self._segment(missing)
+        if len(self.table) > self.limit:
+            self.table, self.old = {}, self.table
+        self.table |= {chunk: ids for chunk, ids in own.items() if len(chunk) <= LONG_CHUNK}
+        try:
+            return list(chain.from_iterable([own[chunk] for chunk in chunks]))
+        except KeyError:
+            return self.library.encode(text)
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
@@ -80,6 +82,12 @@ def segmenter(model: str) -> Segmenter:
     return Segmenter(model)
 
 
+def texts_of(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    return documents.select(
+        F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
+    )
+
+
 def encode(documents: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: ``doc_id`` and ``ids``, the whole text's ids without begin or end ids.
 
@@ -99,9 +107,7 @@ def encode(documents: DataFrame, model: str, id_column: str = "doc_id", text_col
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, at - begin), ids], ["doc_id", "ids"])
                     begin, rows, size = at, [], 0
 
-    rows = documents.select(
-        F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
-    )
+    rows = texts_of(documents, id_column, text_column)
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
@@ -118,12 +124,24 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_tokens``, and SHA-256 of the ids as comma-joined decimals and of the decoded text."""
-    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+def digests(documents: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id``, ``n_tokens``, and SHA-256 of the ids as comma-joined decimals and of the text decoded from them.
+
+    Rows as in ``encode``; ids and texts do not leave the task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = segmenter(model)
+        for batch in batches:
+            counts, of_ids, of_texts = [], [], []
+            for text in batch.column(1):
+                ids = own.encode(text.as_py())
+                counts.append(len(ids))
+                of_ids.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                of_texts.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = texts_of(documents, id_column, text_column)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfledger.llm import conversations, html_text, itq, line_dedup, mixing, ngram_join, packing, pieces, pii, quality, topk, warc
+from shelfledger.llm import conversations, divergence, html_text, itq, line_dedup, mixing, ngram_join, packing, pieces, pii, quality, topk, warc
 from shelfledger.llm.common import Stage, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,9 +60,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
-    return pieces.digests(pieces.decode(encoded, PIECE_MODEL))
+    return pieces.digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +83,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_pii": op10_pii,
+    "op11_divergence": op11_divergence,
     "op12_pieces": op12_pieces,
     "op13_conversations": op13_conversations,
 }
-ORACLES: dict[str, str] = {"op3_topk": topk.ORACLE_SQL, "op6_line_dedup": line_dedup.ORACLE_SQL}
+ORACLES: dict[str, str] = {
+    "op3_topk": topk.ORACLE_SQL,
+    "op6_line_dedup": line_dedup.ORACLE_SQL,
+    "op11_divergence": divergence.ORACLE_SQL,
+}
