@@ -15,7 +15,7 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from itertools import groupby
+from itertools import groupby, islice
 from operator import itemgetter
 
 import numpy as np
@@ -29,6 +29,7 @@ from shelfledger.llm.common import Stage
 MIN_DOCUMENTS, UNIT, PRIOR, TOP_TERMS = 10, 1_000_000_000, 2, 10
 #: Postings that a task holds before it spills a run; those of a shard; pairs computed at a time; pairs summed in a task.
 BLOCK_POSTINGS, SHARD_POSTINGS, PAIR_SLICE, HELD_PAIRS = 200_000, 250_000, 1 << 20, 1 << 19
+MERGED_ROWS = 1 << 14
 
 #: ASCII letters in lower case, other ASCII as blanks, the bytes of other characters as they are.
 LETTERS = bytes(b if b > 127 else b | 32 if chr(b).isalpha() else 32 for b in range(256))
@@ -108,8 +109,8 @@ def merge_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flushed(runs: dict[int, list[pa.Table]]) -> Iterator[pa.RecordBatch]:
         rows = merged([pa.concat_tables(parts).select(names) for parts in runs.values()])
-        while part := [row for row, _ in zip(rows, range(1 << 14))]:
-            yield pa.RecordBatch.from_arrays([pa.array(v, _POSTING.field(n).type) for n, v in zip(names, zip(*part))], names)
+        while part := list(islice(rows, MERGED_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array(v, _POSTING.field(n).type) for n, v in zip(names, zip(*part, strict=True), strict=True)], names)
 
     shard, runs = None, {}
     for batch in batches:
