@@ -72,7 +72,7 @@ def test_codes_are_balanced():
 
 def test_given_embeddings_against_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(itq, "BLOCK_ROWS", 40)
-    rows = table(spark, "/root/testdata/check_s", "embeddings").where("vec_id < 4000")
+    rows = table(spark, "/root/testdata/sf0.1", "embeddings")
     source = rows.orderBy("vec_id").toPandas()
     near = brute(np.stack(source.embedding))
     got = itq.near_duplicates(rows).orderBy("vec_id").toPandas()
