@@ -70,9 +70,16 @@ def test_codes_are_balanced():
     assert abs(share - 0.5).max() < 0.08
 
 
-def test_given_embeddings_against_all_pairs(spark, monkeypatch):
+def test_given_embeddings_with_near_copies_against_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(itq, "BLOCK_ROWS", 40)
-    rows = table(spark, "/root/testdata/sf0.1", "embeddings")
+    given = table(spark, "/root/testdata/sf0.1", "embeddings").select("vec_id", "embedding").orderBy("vec_id").toPandas()
+    rng = np.random.default_rng(4)
+    vectors = np.stack(given.embedding)[::2].astype(np.float64)
+    noise = rng.normal(size=vectors.shape)
+    noise *= (np.linalg.norm(vectors, axis=1) * rng.uniform(0.1, 0.55, len(vectors)) / np.linalg.norm(noise, axis=1))[:, None]
+    copies = [(10_000 + n, v.tolist()) for n, v in enumerate((vectors + noise).astype(np.float32))]
+    rows = [(int(i), list(map(float, v))) for i, v in zip(given.vec_id, given.embedding, strict=True)] + copies
+    rows = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     source = rows.orderBy("vec_id").toPandas()
     near = brute(np.stack(source.embedding))
     got = itq.near_duplicates(rows).orderBy("vec_id").toPandas()
