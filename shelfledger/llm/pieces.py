@@ -24,6 +24,8 @@ CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 CROSSING = re.compile(f"[^{MARK}]{MARK}")
 #: Chunks in each of a task's two tables; longer chunks than LONG_CHUNK are not kept.
 TABLE_CHUNKS, LONG_CHUNK = 1 << 17, 1 << 8
+#: Characters of texts that are segmented together.
+GROUP_CHARS = 1 << 19
 #: Ids are returned in batches of about so many.
 BATCH_IDS = 1 << 19
 
@@ -58,19 +60,34 @@ class Segmenter:
         return found
 
     def encode(self, text: str) -> list[int]:
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text; the chunks that are new in about GROUP_CHARS of texts are segmented in one call."""
         if not self.by_chunk:
-            return self.library.encode(text)
-        chunks = CHUNK.findall(self.library.normalize(text))
-        own = {chunk: ids for chunk in set(chunks) if (ids := self.table.get(chunk) or self.old.get(chunk))}
-        if missing := [chunk for chunk in set(chunks) if chunk not in own]:
-            own |= self._segment(missing)
+            yield from map(self.library.encode, texts)
+            return
+        group, size = [], 0
+        for at, text in enumerate(texts, 1):
+            group.append(text)
+            size += len(text)
+            if size >= GROUP_CHARS or at == len(texts):
+                yield from self._group(group)
+                group, size = [], 0
+
+    def _group(self, texts: list[str]) -> Iterator[list[int]]:
+        chunks = [CHUNK.findall(self.library.normalize(text)) for text in texts]
+        parts = [list(map(self.table.get, found)) for found in chunks]
+        missing = {chunk for found, ids in zip(chunks, parts, strict=True) if None in ids for chunk, own in zip(found, ids, strict=True) if own is None}
+        known = {chunk: ids for chunk in missing if (ids := self.old.get(chunk))}
+        known |= self._segment([chunk for chunk in missing if chunk not in known]) if len(known) < len(missing) else {}
+        for text, found, ids in zip(texts, chunks, parts, strict=True):
+            if None in ids:
+                ids = [own or known.get(chunk) for chunk, own in zip(found, ids, strict=True)]
+            yield self.library.encode(text) if None in ids else list(chain.from_iterable(ids))
         if len(self.table) > self.limit:
             self.table, self.old = {}, self.table
-        self.table |= {chunk: ids for chunk, ids in own.items() if len(chunk) <= LONG_CHUNK}
-        try:
-            return list(chain.from_iterable([own[chunk] for chunk in chunks]))
-        except KeyError:
-            return self.library.encode(text)
+        self.table.update((chunk, ids) for chunk, ids in known.items() if len(chunk) <= LONG_CHUNK)
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
@@ -99,8 +116,8 @@ def encode(documents: DataFrame, model: str, id_column: str = "doc_id", text_col
         own = segmenter(model)
         for batch in batches:
             begin, rows, size = 0, [], 0
-            for at, text in enumerate(batch.column(1), 1):
-                rows.append(own.encode(text.as_py()))
+            for at, found in enumerate(own.encode_all(batch.column(1).to_pylist()), 1):
+                rows.append(found)
                 size += len(rows[-1])
                 if size >= BATCH_IDS or at == batch.num_rows:
                     ids = pa.array(rows, pa.list_(pa.int32()))
@@ -134,8 +151,7 @@ def digests(documents: DataFrame, model: str, id_column: str = "doc_id", text_co
         own = segmenter(model)
         for batch in batches:
             counts, of_ids, of_texts = [], [], []
-            for text in batch.column(1):
-                ids = own.encode(text.as_py())
+            for ids in own.encode_all(batch.column(1).to_pylist()):
                 counts.append(len(ids))
                 of_ids.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
                 of_texts.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
