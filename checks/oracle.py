@@ -395,9 +395,15 @@ _SUMMARY = ", ".join(f"{sql} AS {name}" for name, sql in DAILY_SUMMARY)
 _ATTRIBUTES = ", ".join(f'"{c}"' for c in ATTRIBUTE_COLUMNS)
 
 _GATE_ROWS = """SELECT gate, evaluated, CASE WHEN evaluated THEN coalesce(violations, 0)::BIGINT END AS violations
-FROM (SELECT gate, gate NOT IN ('G1', 'G2', 'G2b', 'G3', 'G4', 'S5', 'G7', 'G8', 'G9', 'G10', 'G23', 'G19', 'G22', 'K4a', 'K4b')
+FROM (SELECT gate, gate NOT IN ('G1', 'G2', 'G2b', 'G3', 'G4', 'S5', 'G7', 'G8', 'G9', 'G10', 'G23', 'G19')
   AS evaluated FROM (VALUES {names}) n(gate)) LEFT JOIN (
   SELECT 'G5' AS gate, 0 AS violations
+  UNION ALL SELECT 'K4a', (SELECT count(*) FROM pos_detail JOIN pos_master ON code = pos_master WHERE product IS NOT NULL)
+    - (SELECT count(*) FROM pos_detail WHERE product IS NOT NULL AND pos_master IN (SELECT code FROM pos_master))
+  UNION ALL SELECT 'K4b', (SELECT count(*) FROM imex_detail JOIN imex_master ON code = document_no WHERE product IS NOT NULL)
+    - (SELECT count(*) FROM imex_detail WHERE product IS NOT NULL AND document_no IN (SELECT code FROM imex_master))
+  UNION ALL SELECT 'G22', (SELECT (sum(sale_qty) + sum(return_qty)) IS DISTINCT FROM (SELECT sum(qty) FROM pos_detail
+    WHERE product IS NOT NULL) FROM pos_daily)::INTEGER
   UNION ALL SELECT 'K1', (SELECT count(*) FROM (SELECT product FROM product WHERE product IS NOT NULL GROUP BY 1 HAVING count(*) > 1))
   UNION ALL SELECT 'G12', (SELECT count(*) FROM pos_daily JOIN candidate USING (product) WHERE business_date IS NULL)
   UNION ALL SELECT 'G13', (SELECT count(*) FROM (SELECT DISTINCT product FROM imex JOIN candidate USING (product)
@@ -585,7 +591,7 @@ def oracle_queries(gate_codes: list[str]) -> dict[str, str]:
         ),
         "metadata": ("win audit imex product evidence target price", metadata),
         "gate_report": (
-            "product pos_daily candidate imex win bundle lines calendar stock daily target",
+            "product pos_detail pos_master imex_detail imex_master pos_daily candidate imex win bundle lines calendar stock daily target",
             _GATE_ROWS.format(names=names),
         ),
     }

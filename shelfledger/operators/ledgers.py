@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfledger.functions.expressions import (
     business_date,
@@ -20,8 +19,8 @@ from shelfledger.functions.expressions import (
     unit_price,
 )
 
-
-Watch = Callable[[DataFrame], DataFrame]
+#: Columns of the staged ledgers that serve the control of their lines only.
+CONTROLS = ("unknown_lines", "line_print")
 
 
 def with_pos_header(details: DataFrame, masters: DataFrame, how: str = "left") -> DataFrame:
@@ -34,24 +33,27 @@ def with_pos_header(details: DataFrame, masters: DataFrame, how: str = "left") -
     return details.join(headers, ["site", "pos_master"], how)
 
 
-def as_it_is(df: DataFrame) -> DataFrame:
-    return df
+def line_print(*columns: str) -> Column:
+    """One number for many lines: it changes if one is lost, doubled or altered, whatever their order."""
+    return F.bit_xor(F.xxhash64(*columns)).alias("line_print")
 
 
-def pos_ledger(
-    details: DataFrame, masters: DataFrame, before: Watch = as_it_is, after: Watch = as_it_is
-) -> DataFrame:
+POS_LINE = ("product", "pos_master", "qty", "amount", "re_pos_details", "discount")
+IMEX_LINE = ("product", "document_no", "quantity", "qty_received")
+
+
+def pos_ledger(details: DataFrame, masters: DataFrame) -> DataFrame:
     """The whole POS history at product, day, discount and sale/return grain.
 
     Everything later steps read (quantities, unknown flags, price agreement, promotion) survives this grouping, so the
-    lines themselves are scanned only once. Lines are summed before the shuffle, so a product that holds a large share
-    of all lines arrives as few rows. ``before`` and ``after`` may watch the lines on either side of the header join.
+    lines themselves are joined only once. Lines are summed before the shuffle, so a product that holds a large share
+    of all lines arrives as few rows. CONTROLS and ``line_count`` tell which lines went in.
     """
     returned = is_return(F.col("re_pos_details"))
     regular = regular_price_line(returned, F.col("discount"), F.col("qty"), F.col("amount"))
     price = F.when(regular, unit_price(F.col("amount"), F.col("qty")))
     return (
-        after(with_pos_header(before(details.where("product is not null")), masters))
+        with_pos_header(details.where("product is not null"), masters)
         .groupBy(
             "site",
             "product",
@@ -65,10 +67,35 @@ def pos_ledger(
             F.bool_or(F.col("qty").isNull()).alias("has_null_qty"),
             F.min(price).alias("min_price"),
             F.max(price).alias("max_price"),
+            F.count_if(F.col("qty").isNull()).alias("unknown_lines"),
+            line_print(*POS_LINE),
         )
     )
 
 
+def pos_line_totals(details: DataFrame) -> DataFrame:
+    """Per site what the ledger must hold, from the source columns alone: no header, no shuffle of lines."""
+    returned = is_return(F.col("re_pos_details"))
+    return details.where("product is not null").groupBy("site").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("qty").isNull()).alias("unknown_lines"),
+        F.sum(F.when(~returned, F.col("qty"))).alias("sum_1"),
+        F.sum(F.when(returned, F.col("qty"))).alias("sum_2"),
+        line_print(*POS_LINE),
+    )
+
+
+def pos_ledger_totals(ledger: DataFrame) -> DataFrame:
+    returned = F.col("is_return")
+    return ledger.groupBy("site").agg(
+        F.sum("line_count").alias("lines"),
+        F.sum("unknown_lines").alias("unknown_lines"),
+        F.sum(F.when(~returned, F.col("qty"))).alias("sum_1"),
+        F.sum(F.when(returned, F.col("qty"))).alias("sum_2"),
+        F.bit_xor("line_print").alias("line_print"),
+    )
+
+
 def pos_daily(ledger: DataFrame) -> DataFrame:
     """Sale and return quantity per product and day. A NULL date collects lines without a dated header."""
     sale = F.when(~F.col("is_return"), F.col("qty")).otherwise(F.lit(0))
@@ -113,16 +140,10 @@ def pos_lines(
     )
 
 
-def imex_ledger(
-    details: DataFrame,
-    masters: DataFrame,
-    include_in_progress: bool = False,
-    before: Watch = as_it_is,
-    after: Watch = as_it_is,
-) -> DataFrame:
-    """Warehouse lines with their signed stock effect and receipt times.
+def imex_lines(details: DataFrame, masters: DataFrame, include_in_progress: bool = False) -> DataFrame:
+    """All warehouse lines of a product with what their header makes of them; ``kept`` marks those in scope.
 
-    Keeps the document kinds in scope, lines without a header and headers without an effective date.
+    In scope are the document kinds with a stock effect, lines without a header and headers without an effective date.
     """
     # What depends on the header alone is worked out on the header side, once per document.
     kind, status = F.col("document_type"), F.col("document_status")
@@ -139,31 +160,76 @@ def imex_ledger(
         round_to_second(F.col("receipt_ts")).alias("raw_receipt_ts"),
         receipt_candidate(internal, F.col("receipt_ts"), F.col("eff_ts")).alias("receipt_candidate_ts"),
     )
-    return (
-        after(before(details.where("product is not null")).join(headers, ["site", "document_no"], "left"))
-        .where("document is null or in_scope")
-        .select(
-            "site",
-            "document",
-            "product",
-            "business_date",
-            imex_net_qty(kind, status, F.col("qty_received"), F.col("quantity"), include_in_progress).alias("net_qty"),
-            F.coalesce("internal", F.lit(False)).alias("is_internal_receipt"),
-            "raw_receipt_ts",
-            "receipt_candidate_ts",
-        )
+    return details.where("product is not null").join(headers, ["site", "document_no"], "left").select(
+        "site",
+        "document",
+        "document_no",
+        "product",
+        "business_date",
+        imex_net_qty(kind, status, F.col("qty_received"), F.col("quantity"), include_in_progress).alias("net_qty"),
+        F.coalesce("internal", F.lit(False)).alias("is_internal_receipt"),
+        "raw_receipt_ts",
+        "receipt_candidate_ts",
+        "quantity",
+        "qty_received",
+        F.coalesce(F.col("document").isNull() | F.col("in_scope"), F.lit(False)).alias("kept"),
     )
 
 
-def imex_daily(ledger: DataFrame) -> DataFrame:
-    """Warehouse movement and receipt evidence per product and day.
+def imex_ledger(details: DataFrame, masters: DataFrame, include_in_progress: bool = False) -> DataFrame:
+    """Warehouse lines in scope with their signed stock effect and receipt times."""
+    lines = imex_lines(details, masters, include_in_progress).where("kept")
+    return lines.drop("document_no", "quantity", "qty_received", "kept")
 
-    Flags and minima combine the same over lines as over documents, so one grouping serves movement and receipts.
+
+def imex_book(lines: DataFrame) -> DataFrame:
+    """Movement and receipt evidence per product and day (``kept``), and control sums of all lines.
+
+    Lines out of scope are one row for each site, without product and day, so that no line goes uncounted. Flags and minima
+    combine the same over lines as over documents, so one grouping serves movement and receipts.
     """
-    receipt = F.col("is_internal_receipt")
-    raw = F.col("raw_receipt_ts")
+    kept = F.col("kept")
+    keys = [F.when(kept, F.col(name)).alias(name) for name in ("product", "business_date")]
+    return lines.groupBy("site", *keys, "kept").agg(
+        *_imex_day(),
+        F.count(F.lit(1)).alias("line_count"),
+        F.count_if(F.col("quantity").isNull() | F.col("qty_received").isNull()).alias("unknown_lines"),
+        F.sum("quantity").alias("quantity"),
+        F.sum("qty_received").alias("qty_received"),
+        line_print(*IMEX_LINE),
+    )
+
+
+def imex_line_totals(details: DataFrame) -> DataFrame:
+    return details.where("product is not null").groupBy("site").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("quantity").isNull() | F.col("qty_received").isNull()).alias("unknown_lines"),
+        F.sum("quantity").alias("sum_1"),
+        F.sum("qty_received").alias("sum_2"),
+        line_print(*IMEX_LINE),
+    )
+
+
+def imex_book_totals(book: DataFrame) -> DataFrame:
+    return book.groupBy("site").agg(
+        F.sum("line_count").alias("lines"),
+        F.sum("unknown_lines").alias("unknown_lines"),
+        F.sum("quantity").alias("sum_1"),
+        F.sum("qty_received").alias("sum_2"),
+        F.bit_xor("line_print").alias("line_print"),
+    )
+
+
+IMEX_DAY = (
+    "site", "product", "business_date", "net_qty", "has_unknown_qty", "has_receipt", "first_receipt_date", "first_candidate_ts",
+    "any_missing_receipt", "any_receipt_mismatch", "any_date_only_receipt",
+)
+
+
+def _imex_day() -> list[Column]:
+    receipt, raw = F.col("is_internal_receipt"), F.col("raw_receipt_ts")
     midnight = (F.hour(raw) == 0) & (F.minute(raw) == 0) & (F.second(raw) == 0)
-    return ledger.groupBy("site", "product", "business_date").agg(
+    return [
         F.sum("net_qty").alias("net_qty"),
         F.bool_or(F.col("net_qty").isNull()).alias("has_unknown_qty"),
         F.bool_or(receipt).alias("has_receipt"),
@@ -172,4 +238,9 @@ def imex_daily(ledger: DataFrame) -> DataFrame:
         F.bool_or(receipt & raw.isNull()).alias("any_missing_receipt"),
         F.bool_or(receipt & raw.isNotNull() & (F.to_date(raw) != F.col("business_date"))).alias("any_receipt_mismatch"),
         F.bool_or(receipt & raw.isNotNull() & midnight).alias("any_date_only_receipt"),
-    )
+    ]
+
+
+def imex_daily(book: DataFrame) -> DataFrame:
+    """Warehouse movement and receipt evidence per product and day."""
+    return book.where("kept").select(*IMEX_DAY)

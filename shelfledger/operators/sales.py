@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, functions as F
 
 from shelfledger.functions.expressions import regular_price_line, unit_price
 
 
-def in_scope(day_frame: DataFrame, targets: DataFrame) -> DataFrame:
-    """Rows of a ledger that belong to the final population and its window."""
+def in_scope(day_frame: DataFrame, targets: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
+    """Rows of a ledger that belong to the final population and its window.
+
+    ``first`` and ``last`` bound all windows; as plain values they reach the scan, which then passes over other days.
+    """
+    if first is not None and last is not None:
+        day_frame = day_frame.where(F.col("business_date").between(F.lit(first), F.lit(last)))
     scope = targets.select("site", "product", "window_start", "window_end")
     return (
         day_frame.join(scope, ["site", "product"])

@@ -7,6 +7,8 @@ shuffled, sorted or joined.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shelfledger.functions.expressions import DEC, sales_or_null, stock_status
@@ -58,11 +60,13 @@ def stock_seed(targets: DataFrame, pos_daily: DataFrame, imex_daily: DataFrame)
     )
 
 
-def daily_movement(targets: DataFrame, pos_daily: DataFrame, imex_daily: DataFrame) -> DataFrame:
+def daily_movement(
+    targets: DataFrame, pos_daily: DataFrame, imex_daily: DataFrame, first: date | None = None, last: date | None = None
+) -> DataFrame:
     """Net stock movement per product and day of the window. One unknown warehouse quantity makes the day unknown."""
     zero = F.lit(0).cast(DEC)
     rows = (
-        in_scope(imex_daily, targets)
+        in_scope(imex_daily, targets, first, last)
         .select(
             *PRODUCT,
             "business_date",
@@ -73,7 +77,7 @@ def daily_movement(targets: DataFrame, pos_daily: DataFrame, imex_daily: DataFra
             F.col("has_unknown_qty").alias("unknown"),
         )
         .unionByName(
-            in_scope(pos_daily, targets).select(
+            in_scope(pos_daily, targets, first, last).select(
                 *PRODUCT,
                 "business_date",
                 F.lit(False).alias("stocked"),
@@ -105,24 +109,17 @@ def daily_movement(targets: DataFrame, pos_daily: DataFrame, imex_daily: DataFra
     )
 
 
-def daily_facts(
-    ledger: DataFrame, imex_daily: DataFrame, eligible: DataFrame, targets: DataFrame, windows: DataFrame
-) -> DataFrame:
-    """Everything known about a product-day, one row per product and event day.
+def daily_facts(ledger: DataFrame, imex_daily: DataFrame, eligible: DataFrame, targets: DataFrame) -> DataFrame:
+    """Everything known about a product-day, one row per exported product and event day, with the product's ``label``.
 
     Everything before the window falls on one opening day, the day before it, which makes the opening stock part of the
-    same running sum. Each exported product has a row on the window's first day. Products that are not exported pass
-    through and are dropped later: that costs less than a join to filter them.
+    same running sum. Each product has a row on the window's first day. Products that are not exported leave in the join
+    that brings label and window, ahead of the grouping; where it shuffles, it shuffles by product, as the grouping needs.
     """
-    at_site = windows.select("site", "window_start", "window_end")
-    pos = ledger.join(at_site, "site").where("business_date <= window_end")
-    opening_day = F.date_sub("window_start", 1)
-    day = F.greatest("business_date", opening_day).alias("day")
-    stock_in = imex_daily.join(at_site, "site").where("business_date <= window_end")
-    rows = (
-        pos.select(
+    events = (
+        ledger.select(
             *PRODUCT,
-            day,
+            "business_date",
             F.when(F.col("is_return"), F.col("qty")).otherwise(-F.col("qty")).cast(DEC).alias("net_qty"),
             F.col("has_null_qty").alias("unknown"),
             F.when(~F.col("is_return"), F.col("qty")).alias("sales_qty"),
@@ -130,24 +127,27 @@ def daily_facts(
             "max_price",
         )
         .unionByName(
-            promo_rows(pos.where("business_date >= window_start"), eligible).select(
-                *PRODUCT, F.col("business_date").alias("day"), F.col("qty").alias("promo_qty"), F.lit(True).alias("is_promo")
+            promo_rows(ledger, eligible).select(
+                *PRODUCT, "business_date", F.col("qty").alias("promo_qty"), F.lit(True).alias("is_promo")
             ),
             allowMissingColumns=True,
         )
         .unionByName(
-            stock_in.select(
+            imex_daily.select(
                 *PRODUCT,
-                day,
+                "business_date",
                 "net_qty",
                 F.col("has_unknown_qty").alias("unknown"),
                 clean_receipt_ts().alias("receipt_ts"),
             ),
             allowMissingColumns=True,
         )
-        .unionByName(targets.select(*PRODUCT, F.col("window_start").alias("day")), allowMissingColumns=True)
+        .unionByName(targets.select(*PRODUCT, F.col("window_start").alias("business_date")), allowMissingColumns=True)
     )
-    return rows.groupBy(*PRODUCT, "day").agg(
+    scope = targets.select(*PRODUCT, "label", "window_start", "window_end")
+    rows = events.join(scope, PRODUCT).where("business_date <= window_end")
+    day = F.greatest("business_date", F.date_sub("window_start", 1)).alias("day")
+    return rows.groupBy("label", *PRODUCT, day).agg(
         F.sum("net_qty").alias("net_qty"),
         F.bool_or("unknown").alias("unknown"),
         F.sum("sales_qty").alias("sales_qty"),
@@ -159,28 +159,41 @@ def daily_facts(
     )
 
 
-def stock_runs(facts: DataFrame, targets: DataFrame, partitions: int) -> DataFrame:
-    """Event days with running stock, the number of days each state holds, and the product's attributes.
+#: How stored event days are dealt and sorted.
+STORED_BY, STORED_ORDER = "label", ("label", *PRODUCT, "day")
 
-    Range partitioning by product gives the result its final order while it is still sparse. A header row ahead of each
-    product's first day brings the attributes and its store's name and open days, so no join follows the partitioning.
+
+def ordered_events(facts: DataFrame, targets: DataFrame, partitions: int) -> DataFrame:
+    """Event days dealt to the task that writes their product, while still sparse.
+
+    A header row ahead of each product's first day brings the attributes and its store's name and open days, so no join
+    follows. Every task has products of an equal share of the dense rows, whatever their number of events.
     """
     header = targets.select(
+        "label",
         *PRODUCT,
         F.date_sub("window_start", 2).alias("day"),
         F.struct(*ATTRIBUTES, *STORE).alias("attributes"),
         "open_days",
     )
-    rows = facts.unionByName(header, allowMissingColumns=True).repartitionByRange(partitions, *PRODUCT)
-    by_day = W.partitionBy(*PRODUCT).orderBy("day")
+    return facts.unionByName(header, allowMissingColumns=True).repartition(partitions, STORED_BY)
+
+
+def stock_runs(events: DataFrame) -> DataFrame:
+    """Event days with running stock, the number of days each state holds, and the product's attributes.
+
+    Events that are dealt by label and sorted are neither moved nor, where Spark is told of it, sorted again.
+    """
+    by_day = W.partitionBy("label", *PRODUCT).orderBy("day")
     so_far = by_day.rowsBetween(W.unboundedPreceding, W.currentRow)
     known_net = F.when(~F.coalesce("unknown", F.lit(False)), F.col("net_qty"))
     net = F.coalesce(known_net, F.lit(0).cast(DEC))
     window_start, window_end = F.col("attributes.window_start"), F.col("attributes.window_end")
     low, high = F.col("min_price"), F.col("max_price")
     return (
-        rows.withColumn("net_qty", net)
+        events.withColumn("net_qty", net)
         .select(
+            "label",
             *PRODUCT,
             "day",
             "net_qty",
@@ -215,6 +228,7 @@ def expand_runs(runs: DataFrame) -> DataFrame:
         return F.when(event, F.col(name))
 
     return days.select(
+        "label",
         *PRODUCT,
         F.date_add("day", F.col("offset")).alias("business_date"),
         "has_sales_record",
@@ -236,7 +250,7 @@ def check_runs(runs: DataFrame) -> DataFrame:
 
     Runs that follow each other without gap or overlap give each product every day once.
     """
-    by_day = W.partitionBy(*PRODUCT).orderBy("day")
+    by_day = W.partitionBy("label", *PRODUCT).orderBy("day")
     clean = ~F.col("tainted")
     opening = F.when(clean, F.col("close_if_clean") - F.col("net_qty"))
     previous_close = F.lag(F.when(clean, F.col("close_if_clean"))).over(by_day)

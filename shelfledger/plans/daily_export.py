@@ -1,68 +1,46 @@
 """The daily export: from source tables to the daily result and its metadata.
 
-``DailyExport`` names every step once. Steps are lazy; those that feed several others go through ``stage``, which either
-writes them to the staging folder or leaves them inside the plan.
+``DailyExport`` names every step once. Steps are lazy; those that feed several others go through ``staging``, which either
+writes them to a folder of the run or leaves them inside the plan.
 """
 
 from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import cached_property, partial
+from datetime import date
+from functools import cached_property
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfledger.operators import calendar, catalog, inactivity, ledgers, population, promo, receipts, sales, stock
+from shelfledger.operators import calendar, catalog, inactivity, ledgers, placement, population, promo, receipts, sales, stock
 from shelfledger.params import ExportParams
 from shelfledger.plans import gates
 from shelfledger.schemas import DAILY_COLUMNS, METADATA_COLUMNS
 from shelfledger.sources.bundle import Sources
-from shelfledger.sources.staging import Staging, exists, move, remove, without_staging
+from shelfledger.sources.staging import Staging, WithoutStaging, exists, move, remove
 from shelfledger.violations import GateError, Violation
 
-Stage = Callable[[str, DataFrame], DataFrame]
 LOG = logging.getLogger("shelfledger")
 
 
-def _lines(seen: Observation) -> int:
-    """The lines that were counted. The engine drops a watch, and its count, where it finds that no row can come."""
-    try:
-        return seen.get["lines"]
-    except Py4JJavaError:
-        return 0
-
-
 class DailyExport:
-    def __init__(self, spark: SparkSession, sources: Sources, params: ExportParams, stage: Stage = without_staging):
+    def __init__(
+        self, spark: SparkSession, sources: Sources, params: ExportParams, staging: Staging | WithoutStaging | None = None
+    ):
         self.spark = spark
         self.sources = sources
         self.params = params
-        self.stage = stage
+        self.staging = staging or WithoutStaging()
+        self.stage = self.staging.write
 
-    # Ledgers: the only scans of the transaction tables.
+    # Ledgers: the only joins of the transaction tables. They are stored by day, as most later steps want the window only.
 
     @cached_property
     def pos_ledger(self) -> DataFrame:
-        build = partial(ledgers.pos_ledger, self.sources.pos_detail, self.sources.pos_master)
-        return self._staged_once_joined("pos_ledger", "K4a", build)
-
-    def _staged_once_joined(self, name: str, gate: str, build: Callable[..., DataFrame], finish=ledgers.as_it_is) -> DataFrame:
-        """Stage a ledger and count its lines on both sides of the header join, on the same scan.
-
-        More lines after the join than before mean that header codes repeat.
-        """
-        if self.stage is without_staging:
-            return finish(build())
-        counts = [Observation(f"{name}_{side}") for side in ("before", "after")]
-        watch = [lambda df, count=count: df.observe(count, F.count(F.lit(1)).alias("lines")) for count in counts]
-        staged = self.stage(name, finish(build(before=watch[0], after=watch[1])))
-        before, after = map(_lines, counts)
-        if before < after:
-            raise GateError([Violation(gate, gates.GATES[gate], after - before)])
-        return staged
+        ledger = ledgers.pos_ledger(self.sources.pos_detail, self.sources.pos_master)
+        return self.staging.write_clustered("pos_ledger", ledger, "business_date")
 
     @cached_property
     def imex_ledger(self) -> DataFrame:
@@ -71,12 +49,14 @@ class DailyExport:
         )
 
     @cached_property
-    def imex_daily(self) -> DataFrame:
+    def imex_book(self) -> DataFrame:
         sources, params = self.sources, self.params
-        build = partial(
-            ledgers.imex_ledger, sources.imex_detail, sources.imex_master, params.include_in_progress_documents
-        )
-        return self._staged_once_joined("imex_daily", "K4b", build, ledgers.imex_daily)
+        lines = ledgers.imex_lines(sources.imex_detail, sources.imex_master, params.include_in_progress_documents)
+        return self.staging.write_clustered("imex_book", ledgers.imex_book(lines), "business_date")
+
+    @cached_property
+    def imex_daily(self) -> DataFrame:
+        return ledgers.imex_daily(self.imex_book)
 
     @cached_property
     def pos_daily(self) -> DataFrame:
@@ -124,14 +104,18 @@ class DailyExport:
 
     # Lines in scope: final population, export window.
 
+    @cached_property
+    def bounds(self) -> tuple[date | None, date | None]:
+        """First and last day of all windows, as plain values, which reach the scans."""
+        return tuple(self.windows.agg(F.min("window_start"), F.max("window_end")).first())
+
     @cached_property
     def pos_lines(self) -> DataFrame:
-        bounds = self.windows.agg(F.min("window_start"), F.max("window_end")).first()
-        return ledgers.pos_lines(self.sources.pos_detail, self.sources.pos_master, self.targets, *bounds)
+        return ledgers.pos_lines(self.sources.pos_detail, self.sources.pos_master, self.targets, *self.bounds)
 
     @cached_property
     def ledger_in_scope(self) -> DataFrame:
-        return sales.in_scope(self.pos_ledger, self.targets)
+        return sales.in_scope(self.pos_ledger, self.targets, *self.bounds)
 
     @cached_property
     def used_discounts(self) -> DataFrame:
@@ -157,7 +141,7 @@ class DailyExport:
 
     @cached_property
     def movement(self) -> DataFrame:
-        return stock.daily_movement(self.targets, self.pos_daily, self.imex_daily)
+        return stock.daily_movement(self.targets, self.pos_daily, self.imex_daily, *self.bounds)
 
     @cached_property
     def first_receipt(self) -> DataFrame:
@@ -185,21 +169,28 @@ class DailyExport:
         """
         slots = self.spark.sparkContext.defaultParallelism
         wanted = -(-self.projection["rows"] // self.params.rows_per_partition)
-        return max(-(-wanted // slots), 1) * slots
+        most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        return min(max(-(-wanted // slots), 1) * slots, most)
+
+    @cached_property
+    def placed(self) -> DataFrame:
+        """The targets with the task that writes them."""
+        return self.stage("placed", placement.placed(self.targets, self.partitions, self.stage))
 
     @cached_property
     def facts(self) -> DataFrame:
-        ledger, stocked = self.pos_ledger, self.imex_daily
-        if self.params.test_mode_max_barcodes is not None:
-            keys = self.targets.select(*stock.PRODUCT)
-            ledger = ledger.join(keys, stock.PRODUCT, "left_semi")
-            stocked = stocked.join(keys, stock.PRODUCT, "left_semi")
         eligible = promo.eligible_promotions(self.sources.bundle, self.sources.promotion)
-        return stock.daily_facts(ledger, stocked, eligible, self.targets, self.windows)
+        return stock.daily_facts(self.pos_ledger, self.imex_daily, eligible, self.placed)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """Event days as the result and its checks read them: dealt and sorted once."""
+        events = stock.ordered_events(self.facts, self.placed.join(self.site_days, "site"), self.partitions)
+        return self.staging.write_bucketed("events", events, self.partitions, stock.STORED_BY, stock.STORED_ORDER)
 
     @cached_property
     def runs(self) -> DataFrame:
-        return stock.stock_runs(self.facts, self.targets.join(self.site_days, "site"), self.partitions)
+        return stock.stock_runs(self.events)
 
     @cached_property
     def identity(self) -> DataFrame:
@@ -252,13 +243,11 @@ class DailyExport:
     # Totals and metadata.
 
     @cached_property
-    def expected_totals(self) -> DataFrame:
-        """What the result must add up to, per site."""
-        days = F.date_diff("window_end", "window_start") + 1
-        rows = self.targets.groupBy("site").agg(F.sum(days).alias("expected_rows"))
-        sold = self.ledger_in_scope.where("not is_return").groupBy("site").agg(F.sum("qty").alias("sale_lines"))
-        promoted = self.daily_promo.groupBy("site").agg(F.sum("promo_qty").alias("promo_lines"))
-        return rows.join(sold, "site", "left").join(promoted, "site", "left")
+    def expected(self) -> DataFrame:
+        """What every product of the result must add up to: days, quantities, and fingerprints of all its days."""
+        return gates.expected_products(
+            self.targets, self.calendar, sales.daily_sales(self.ledger_in_scope), self.daily_promo
+        )
 
     @cached_property
     def site_metadata(self) -> DataFrame:
@@ -314,10 +303,13 @@ class DailyExport:
         return gates.union_all(
             [
                 gates.identity_gates(s.config, s.store),
-                gates.key_gates(s.product, s.pos_master, s.imex_master, self.params.reconcile_scans),
+                gates.key_gates(s.product),
             ]
         )
 
+    def ledger_gates(self) -> DataFrame:
+        return gates.ledger_gates(self)
+
     def gate_report(self) -> DataFrame:
         """Violations of every gate, one row per gate.
 
@@ -327,6 +319,7 @@ class DailyExport:
         report = gates.union_all(
             [
                 self.source_gates(),
+                self.ledger_gates(),
                 gates.population_gates(self),
                 gates.line_gates(self),
                 gates.calendar_gate(self),
@@ -343,6 +336,9 @@ class DailyExport:
     def check_sources(self) -> None:
         gates.stop_on(self.source_gates())
 
+    def check_ledgers(self) -> None:
+        gates.stop_on(self.ledger_gates())
+
     def check_population(self) -> None:
         gates.stop_on(gates.population_gates(self))
 
@@ -389,9 +385,10 @@ def prepare_export(spark: SparkSession, sources: Sources, params: ExportParams)
     """Stage the ledgers and the population and pass every gate that precedes the result. Nothing stays on failure."""
     staging = Staging(spark)
     try:
-        run = DailyExport(spark, sources, params, staging.write)
+        run = DailyExport(spark, sources, params, staging)
         run.check_parameters()
         run.check_sources()
+        run.check_ledgers()
         run.check_population()
         run.check_lines()
         warnings = run.warnings()

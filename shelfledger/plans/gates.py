@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfledger.functions.expressions import DEC, has_bundle_prefix
-from shelfledger.operators.sales import daily_sales
+from shelfledger.operators import ledgers
 from shelfledger.operators.stock import PRODUCT, check_runs
 from shelfledger.violations import GateError, Violation
 
@@ -39,7 +39,7 @@ GATES = {
     "G17": "inactivity window starts before the export window",
     "G18": "no barcode is left after the inactivity gate",
     "G19": "the sample left no product",
-    "G22": "day and line totals of POS differ",
+    "G22": "totals of a ledger and of its source lines differ",
     "G24": "a used discount code stands for several promotions",
     "K2": "promotion codes behind used discounts repeat",
     "G25": "the calendar does not cover the window",
@@ -68,8 +68,6 @@ def not_evaluated(params) -> set[str]:
         off |= {"G16", "G17"}
     if params.test_mode_max_barcodes is None:
         off.add("G19")
-    if not params.reconcile_scans:
-        off |= {"G22", "K4a", "K4b"}
     return off
 
 
@@ -116,15 +114,37 @@ def identity_gates(config: DataFrame, store: DataFrame) -> DataFrame:
     )
 
 
-def key_gates(product: DataFrame, pos_master: DataFrame, imex_master: DataFrame, headers: bool) -> DataFrame:
-    """Keys that the joins rely on. Header keys cost a shuffle of each header table and are checked on request."""
-    found = [_repeats("K1", product.where("product is not null"), "product")]
-    if headers:
-        found += [
-            _repeats("K4a", pos_master.where("code is not null"), "code"),
-            _repeats("K4b", imex_master.where("code is not null"), "code"),
-        ]
-    return union_all(found)
+def key_gates(product: DataFrame) -> DataFrame:
+    return _repeats("K1", product.where("product is not null"), "product")
+
+
+def ledger_gates(run) -> DataFrame:
+    """Both ledgers against the source columns: lines, known quantities and a fingerprint of every line.
+
+    The totals of a ledger are columns of its stored rows, so a task that runs again changes none of them. More lines
+    than the source has mean that header codes repeat (K4); anything else that differs is a loss (G22).
+    """
+    s = run.sources
+    pairs = [
+        ("K4a", ledgers.pos_ledger_totals(run.pos_ledger), ledgers.pos_line_totals(s.pos_detail)),
+        ("K4b", ledgers.imex_book_totals(run.imex_book), ledgers.imex_line_totals(s.imex_detail)),
+    ]
+    return union_all([line_control(gate, held, given) for gate, held, given in pairs])
+
+
+def line_control(gate: str, held: DataFrame, given: DataFrame) -> DataFrame:
+    """Surplus lines under ``gate``, and sites whose totals differ otherwise under G22."""
+    names = ("lines", "unknown_lines", "sum_1", "sum_2", "line_print")
+    held = held.select("site", *[F.col(name).alias(f"held_{name}") for name in names])
+    both = given.join(held, "site", "full")
+    surplus = F.coalesce("held_lines", F.lit(0)) - F.coalesce("lines", F.lit(0))
+    unequal = [~F.col(name).eqNullSafe(F.col(f"held_{name}")) for name in names]
+    counted = both.select(
+        "site",
+        F.greatest(surplus, F.lit(0)).alias(gate),
+        ((surplus <= 0) & reduce(Column.__or__, unequal)).cast("bigint").alias("G22"),
+    )
+    return _unpivot(counted, [gate, "G22"])
 
 
 def population_gates(run) -> DataFrame:
@@ -208,22 +228,58 @@ def calendar_gate(run) -> DataFrame:
     )
 
 
+#: Days whose presence one number holds, a bit for each.
+SPAN = 63
+
+
+def day_print(day: Column, quantity: Column) -> Column:
+    """A number for a day and its quantity, also for a quantity of zero. Null for a null quantity."""
+    moved = F.xxhash64(day, quantity.cast(DEC))
+    return F.when(quantity == 0, F.xxhash64(day)).when(quantity.isNotNull(), moved)
+
+
+def expected_products(targets: DataFrame, calendar: DataFrame, sold: DataFrame, promoted: DataFrame) -> DataFrame:
+    """For each exported product the days, totals and fingerprints that its published rows must have.
+
+    The fingerprint of sales covers every open day, those without a sale too: all open days at zero, with the zeros of its
+    sale days exchanged for their quantities. None of this has a row for each day.
+    """
+    day, zero = F.col("business_date"), F.lit(0).cast(DEC)
+    open_days = calendar.where("has_sales_record").groupBy("site").agg(F.bit_xor(day_print(day, zero)).alias("zeros"))
+    sales = sold.groupBy(*PRODUCT).agg(
+        F.sum("sales_qty").alias("sale_lines"),
+        F.bit_xor(day_print(day, F.col("sales_qty")).bitwiseXOR(day_print(day, zero))).alias("moved"),
+    )
+    promos = promoted.where("promo_qty <> 0").groupBy(*PRODUCT).agg(
+        F.sum("promo_qty").alias("promo_lines"), F.bit_xor(day_print(day, F.col("promo_qty"))).alias("promo_print")
+    )
+    days = (F.date_diff("window_end", "window_start") + 1).alias("expected_rows")
+    rows = targets.select(*PRODUCT, days).join(open_days, "site", "left").join(sales, PRODUCT, "left").join(promos, PRODUCT, "left")
+    moved = F.coalesce("moved", F.lit(0)).bitwiseXOR(F.coalesce("zeros", F.lit(0)))
+    return rows.select(*PRODUCT, "expected_rows", "sale_lines", "promo_lines", moved.alias("sale_print"), "promo_print")
+
+
 def row_checks(columns: dict[str, str]) -> dict[str, Column]:
-    """Counting expressions over the dense result; usable in one aggregate or as metrics of the write itself."""
+    """Aggregates over the dense result: rows that break a rule, and what reconciles the rest."""
     c = {name: F.col(column) for name, column in columns.items()}
     known = c["sales"].isNotNull(), c["promo"].isNotNull()
+    bit = F.expr(f"shiftleft(1L, cast(pmod(unix_date({columns['day']}), {SPAN}) as int))")
     return {
         "I-1": F.count_if((~c["open"] & (known[0] | known[1])) | (c["open"] & ~(known[0] & known[1]))),
         "I-2b": F.count_if(c["open"] & ((c["promo"] < 0) | (c["sales"] < 0) | (c["promo"] > c["sales"]))),
         "I-3": F.count_if(c["is_promo"] & ~c["open"]),
         "I-6": F.count_if(c["barcode"].isNull() | has_bundle_prefix(c["barcode"])),
         "rows": F.count(F.lit(1)),
+        "days": F.bit_or(bit),
         "sales_total": F.sum(c["sales"]),
         "promo_total": F.sum(c["promo"]),
+        "published_print": F.bit_xor(day_print(c["day"], c["sales"])),
+        "published_promo": F.bit_xor(F.when(c["promo"] != 0, day_print(c["day"], c["promo"]))),
     }
 
 
 GRID_COLUMNS = {
+    "day": "business_date",
     "open": "has_sales_record",
     "sales": "sales_qty",
     "promo": "promo_qty",
@@ -233,33 +289,46 @@ GRID_COLUMNS = {
 
 
 def result_gates(run) -> DataFrame:
-    """Invariants of the dense result over the whole population: one pass over its rows and one over its sale days."""
-    return _invariants(run, run.grid, GRID_COLUMNS)
+    """Invariants of the dense result over the whole population, in one pass over its rows, which it does not move."""
+    return _invariants(run, run.grid, GRID_COLUMNS, ["label", *PRODUCT])
 
 
-def _invariants(run, grid: DataFrame, columns: dict[str, str]) -> DataFrame:
-    seen = grid.groupBy("site").agg(*[value.alias(name) for name, value in row_checks(columns).items()])
-    seen = (
-        run.expected_totals.join(seen, "site", "left")
-        .withColumn("I-4", (F.coalesce("rows", F.lit(0)) != F.col("expected_rows")).cast("bigint"))
-        .withColumn("I-8", _differ(F.col("sales_total"), F.col("sale_lines")).cast("bigint"))
-        .withColumn("I-9", _differ(F.col("promo_total"), F.col("promo_lines")).cast("bigint"))
-    )
-    names = ["I-1", "I-2b", "I-3", "I-4", "I-6", "I-8", "I-9"]
-    sold = daily_sales(run.ledger_in_scope)
-    return union_all([_unpivot(seen, names), run_gates(run.runs), lost_sales(sold, grid)])
+def _invariants(run, rows: DataFrame, columns: dict[str, str], keys: list[str]) -> DataFrame:
+    return union_all([product_gates(run.expected, by_product(rows, columns, keys)), run_gates(run.runs)])
 
 
-def lost_sales(sold: DataFrame, published: DataFrame) -> DataFrame:
-    """Sale days whose published quantity is missing or different.
+def by_product(rows: DataFrame, columns: dict[str, str], keys: list[str]) -> DataFrame:
+    """The checks of all published rows of a product; ``repeated`` counts rows beyond one for a day.
 
-    Both frames carry site, product, business_date and sales_qty. Days without a quantity are left out of the comparison,
-    so the dense grid sends only its sale days into the join; the row count covers the others.
+    Rows are first summed by spans of days, so one number tells which of its days are there.
     """
-    key = [*PRODUCT, "business_date"]
-    sold = sold.where("sales_qty <> 0").select(*key, F.col("sales_qty").alias("sold_qty"))
-    both = sold.join(published.where("sales_qty <> 0").select(*key, "sales_qty"), key, "full")
-    return _per_site("I-2", both.where(_differ(F.col("sold_qty"), F.col("sales_qty"))))
+    span = F.floor(F.unix_date(columns["day"]) / SPAN).alias("span")
+    spans = rows.groupBy(*keys, span).agg(*[value.alias(name) for name, value in row_checks(columns).items()])
+    repeated = F.col("rows") - F.bit_count("days")
+    sums = ["I-1", "I-2b", "I-3", "I-6", "rows", "sales_total", "promo_total"]
+    return spans.groupBy(*keys).agg(
+        *[F.sum(f"`{name}`").alias(name) for name in sums],
+        F.sum(repeated).alias("I-5"),
+        *[F.bit_xor(name).alias(name) for name in ("published_print", "published_promo")],
+    )
+
+
+def product_gates(expected: DataFrame, published: DataFrame) -> DataFrame:
+    """Published products against what they must add up to. No dense row takes part, only one row for each product."""
+    both = expected.join(published.drop("label"), PRODUCT, "full")
+    rows = F.coalesce("rows", F.lit(0))
+    counts = {name: F.sum(f"`{name}`") for name in ("I-1", "I-2b", "I-3", "I-5", "I-6")}
+    counts |= {
+        "I-2": F.count_if(~F.coalesce("sale_print", F.lit(0)).eqNullSafe(F.col("published_print"))),
+        "I-4": F.count_if(~F.col("expected_rows").eqNullSafe(rows)),
+        "I-8": F.count_if(_differ(F.col("sales_total"), F.col("sale_lines"))),
+        "I-9": F.count_if(
+            _differ(F.col("promo_total"), F.col("promo_lines"))
+            | ~F.coalesce("promo_print", F.lit(0)).eqNullSafe(F.coalesce("published_promo", F.lit(0)))
+        ),
+    }
+    seen = both.groupBy("site").agg(*[F.coalesce(value, F.lit(0)).alias(name) for name, value in counts.items()])
+    return _unpivot(seen, list(counts))
 
 
 def run_gates(runs: DataFrame) -> DataFrame:
@@ -271,6 +340,7 @@ def run_gates(runs: DataFrame) -> DataFrame:
 
 
 WRITTEN_COLUMNS = {
+    "day": "Date",
     "open": "HasSalesRecord",
     "sales": "SalesQty",
     "promo": "PromoSalesQty",
@@ -282,10 +352,8 @@ WRITTEN_COLUMNS = {
 def written_gates(run, written: DataFrame) -> DataFrame:
     """The same invariants on the rows that were written. Stores have different names here, or I-5 has stopped the run."""
     sites = run.identity.select("site", F.col("location_code").alias("LocationCode"))
-    named = written.join(sites, "LocationCode", "left").withColumns(
-        {"product": F.col("ProductCode"), "business_date": F.col("Date"), "sales_qty": F.col("SalesQty")}
-    )
-    return _invariants(run, named, WRITTEN_COLUMNS)
+    named = written.join(sites, "LocationCode", "left").withColumn("product", F.col("ProductCode"))
+    return _invariants(run, named, WRITTEN_COLUMNS, PRODUCT)
 
 
 def failures(report: DataFrame) -> list[Violation]:

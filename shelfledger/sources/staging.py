@@ -11,6 +11,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Row groups of clustered tables.
+ROW_GROUP_BYTES = 4 << 20
+
+
 def staging_root(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse, which the executors share too."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -23,14 +27,35 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{staging_root(spark).rstrip('/')}/shelfledger-{uuid.uuid4().hex}"
+        self.tables: list[str] = []
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         location = f"{self.path}/{name}"
         df.write.parquet(location)
         return self.spark.read.schema(df.schema).parquet(location)
 
+    def write_clustered(self, name: str, df: DataFrame, column: str) -> DataFrame:
+        """Sorted by a column inside each file, in small row groups: a filter on it reads only those that it concerns."""
+        location = f"{self.path}/{name}"
+        df.sortWithinPartitions(column).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(location)
+        return self.spark.read.schema(df.schema).parquet(location)
+
+    def write_bucketed(self, name: str, df: DataFrame, buckets: int, column: str, order: tuple[str, ...]) -> DataFrame:
+        """A table that Spark knows to be dealt by a column: what groups or orders by it needs no shuffle to read it.
+
+        It is listed in the session's current database until ``cleanup``. With
+        ``spark.sql.legacy.bucketedTableScan.outputOrdering`` it is not sorted again either: a bucket is one file.
+        """
+        table = f"staged_{uuid.uuid4().hex}"
+        writer = df.write.option("path", f"{self.path}/{name}").bucketBy(buckets, column).sortBy(*order)
+        writer.saveAsTable(table)
+        self.tables.append(table)
+        return self.spark.table(table)
+
     def cleanup(self) -> None:
-        """Remove this run's folder, once its results are written elsewhere."""
+        """Remove this run's folder and tables, once its results are written elsewhere."""
+        for table in self.tables:
+            self.spark.sql(f"drop table if exists {table}")
         remove(self.spark, self.path)
 
 
@@ -56,6 +81,14 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
-def without_staging(name: str, df: DataFrame) -> DataFrame:
-    """Keep the step lazy, as part of the plan that uses it."""
-    return df
+class WithoutStaging:
+    """Keeps every step lazy, as part of the plan that uses it."""
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        return df
+
+    def write_clustered(self, name: str, df: DataFrame, column: str) -> DataFrame:
+        return df
+
+    def write_bucketed(self, name: str, df: DataFrame, buckets: int, column: str, order: tuple[str, ...]) -> DataFrame:
+        return df
