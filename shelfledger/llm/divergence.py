@@ -2,7 +2,7 @@
 
 Term counts come from single-pass in-memory indexing: a task builds the postings of a block of documents (how often, and
 in how many documents, a source uses a term) until its memory bound, spills them as a run sorted by term and starts anew.
-The runs are dealt to hash shards of bounded size, and each shard's runs are merged by a heap into frequencies.
+The runs are dealt to hash shards, and each shard's runs are merged by a heap, some thousand terms at a time, into frequencies.
 
 The distance of two sources sums over all terms of their language. Most terms are missing in a source, so it is taken as the
 distance of two sources without any term, corrected by the terms that one of them has (counted by how often, as equal counts
@@ -12,11 +12,12 @@ correct alike) and, term by term in a stream over the merged postings, by those
 from __future__ import annotations
 
 import heapq
+import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from itertools import groupby, islice
-from operator import itemgetter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +28,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfledger.llm.common import Stage
 
 MIN_DOCUMENTS, UNIT, PRIOR, TOP_TERMS = 10, 1_000_000_000, 2, 10
-#: Postings that a task holds before it spills a run; those of a shard; pairs computed at a time; pairs summed in a task.
-BLOCK_POSTINGS, SHARD_POSTINGS, PAIR_SLICE, HELD_PAIRS = 200_000, 250_000, 1 << 20, 1 << 19
-MERGED_ROWS = 1 << 14
+#: Postings that a task holds before it spills a run; hash shards; terms of a run merged at a time.
+BLOCK_POSTINGS, SHARDS, MERGED_TERMS = 1_000_000, 1024, 1 << 13
+#: Pairs computed at a time; pairs summed in a task.
+PAIR_SLICE, HELD_PAIRS = 1 << 20, 1 << 19
 
 #: ASCII letters in lower case, other ASCII as blanks, the bytes of other characters as they are.
 LETTERS = bytes(b if b > 127 else b | 32 if chr(b).isalpha() else 32 for b in range(256))
 
-_POSTING = pa.schema(
-    [("run", pa.int64()), ("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("count", pa.int64()), ("docs", pa.int64())]
+#: A run's part for one shard: distinct terms in order, separated by blanks, the number of each one's postings, and the
+#: postings: place of the group in ``names`` (language, source, language, ...), occurrences, documents.
+_SEGMENT = pa.schema(
+    [("shard", pa.int32()), ("run", pa.int64()), ("terms", pa.binary()), *[(name, pa.binary()) for name in ("lengths", "groups", "counts", "docs")]]
+    + [("names", pa.list_(pa.string()))]
 )
-POSTING = "run long, lang string, source string, term string, count long, docs long"
+SEGMENT = "shard int, run long, terms binary, lengths binary, groups binary, counts binary, docs binary, names array<string>"
 FREQUENCY = "lang string, source string, term string, count long, docs long"
 
 
@@ -66,76 +71,136 @@ class Block:
         docs.update(set(found))
         self.size += len(counts) - had
 
-    def run(self, number: int) -> Iterator[pa.RecordBatch]:
-        """The postings in order of language, source and term."""
-        for (lang, source), (counts, docs) in sorted(self.groups.items()):
-            order = sorted(counts)
-            for begin in range(0, len(order), 1 << 15):
-                part = order[begin : begin + (1 << 15)]
-                values = [[number] * len(part), [lang] * len(part), [source] * len(part), [term.decode() for term in part]]
-                values += [[counts[term] for term in part], [docs[term] for term in part]]
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, _POSTING, strict=True)], schema=_POSTING)
-
-
-def indexed(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_POSTINGS) -> Iterator[pa.RecordBatch]:
+    def run(self, number: int, shards: int = SHARDS) -> Iterator[pa.RecordBatch]:
+        """The postings in order of term, dealt to hash shards."""
+        groups = sorted(self.groups)
+        found, shard, group, counts, docs = [], [], [], [], []
+        for place, key in enumerate(groups):
+            of_count, of_docs = self.groups[key]
+            own, seed = list(of_count), zlib.crc32("\0".join(key).encode())
+            found += own
+            shard.append(np.array([zlib.crc32(term, seed) for term in own], np.int64) % shards)
+            group.append(np.full(len(own), place, np.int32))
+            counts.append(np.array(list(of_count.values()), np.int64))
+            docs.append(np.array(list(map(of_docs.__getitem__, own)), np.int64))
+        if not found:
+            return
+        of_term = pa.array(found, pa.binary())
+        order = pa.compute.array_sort_indices(of_term).to_numpy()  # stable, so groups stay in order
+        shard = np.concatenate(shard)[order]
+        by_shard = np.argsort(shard, kind="stable")
+        order, shard = order[by_shard], shard[by_shard]
+        of_term = of_term.take(pa.array(order))
+        group, counts, docs = (np.concatenate(values)[order] for values in (group, counts, docs))
+        new = np.ones(len(order), bool)
+        new[1:] = (shard[1:] != shard[:-1]) | pa.compute.not_equal(of_term.slice(1), of_term.slice(0, len(order) - 1)).to_numpy(zero_copy_only=False)
+        begins = np.flatnonzero(new)
+        distinct = of_term.take(pa.array(begins)).to_pylist()
+        lengths = np.diff(np.append(begins, len(order))).astype(np.int32)
+        cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(order)]
+        rows = []
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+            low, high = np.searchsorted(begins, [begin, end])
+            used, places = np.unique(group[begin:end], return_inverse=True)
+            values = [int(shard[begin]), number, b" ".join(distinct[low:high]), lengths[low:high].tobytes(), places.astype(np.int32).tobytes()]
+            values += [counts[begin:end].tobytes(), docs[begin:end].tobytes(), [name for place in used.tolist() for name in groups[place]]]
+            rows.append(values)
+            if len(rows) == 256 or end == len(order):
+                columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), _SEGMENT.types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, schema=_SEGMENT)
+                rows = []
+
+
+def indexed(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_POSTINGS, shards: int = SHARDS) -> Iterator[pa.RecordBatch]:
     """The runs of a task, from rows of language, source and text."""
     number, block = TaskContext.get().partitionId() << 32, Block()
     for batch in batches:
         for lang, source, text in zip(*batch.columns, strict=True):
             block.add(lang.as_py(), source.as_py(), text.as_py())
             if block.size >= limit:
-                yield from block.run(number)
+                yield from block.run(number, shards)
                 number, block = number + 1, Block()
-    yield from block.run(number)
+    yield from block.run(number, shards)
+
+
+class Run:
+    """One run's part for a shard, read from its least term on."""
 
+    def __init__(self, row: dict, ids: dict[tuple[str, str], int]):
+        self.terms = row["terms"].split(b" ")
+        self.lengths = np.frombuffer(row["lengths"], np.int32)
+        names = list(zip(row["names"][::2], row["names"][1::2], strict=True))
+        known = np.array([ids.setdefault(name, len(ids)) for name in names], np.int64)
+        self.groups = known[np.frombuffer(row["groups"], np.int32)]
+        self.counts, self.docs = np.frombuffer(row["counts"], np.int64), np.frombuffer(row["docs"], np.int64)
+        self.ends = np.append(0, np.cumsum(self.lengths))
+        self.at = 0
 
-def postings_of(part: pa.Table) -> Iterator[tuple]:
-    for batch in part.to_batches(max_chunksize=1024):
-        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+    def bound(self, size: int) -> bytes:
+        """The last of the next so many terms."""
+        return self.terms[min(self.at + size, len(self.terms)) - 1]
 
+    def take(self, bound: bytes, size: int) -> tuple[list[bytes], np.ndarray, slice]:
+        """The terms up to a bound, the number of their postings, and where those are."""
+        begin = self.at
+        self.at = bisect_right(self.terms, bound, begin, min(begin + size, len(self.terms)))
+        return self.terms[begin : self.at], self.lengths[begin : self.at], slice(self.ends[begin], self.ends[self.at])
 
-def merged(runs: list[pa.Table]) -> Iterator[tuple]:
-    """Language, source, term, occurrences, documents: sorted runs merged by a heap, equal terms added up."""
-    for key, rows in groupby(heapq.merge(*map(postings_of, runs)), key=itemgetter(0, 1, 2)):
-        count = docs = 0
-        for *_, more, in_docs in rows:
-            count, docs = count + more, docs + in_docs
-        yield *key, count, docs
+
+def merged(runs: list[Run], size: int = MERGED_TERMS) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """Term, group, occurrences and documents of all runs in order of term, equal ones added up.
+
+    A heap holds each run by the last of its next ``size`` terms; the least of them bounds what every run can give now.
+    """
+    heap = [(run.bound(size), at) for at, run in enumerate(runs)]
+    heapq.heapify(heap)
+    while heap:
+        bound = heap[0][0]
+        parts = [(run, *run.take(bound, size)) for run in runs if run.at < len(run.terms) and run.terms[run.at] <= bound]
+        while heap and heap[0][0] <= bound:
+            _, at = heapq.heappop(heap)
+            if runs[at].at < len(runs[at].terms):
+                heapq.heappush(heap, (runs[at].bound(size), at))
+        encoded = pa.array(list(chain.from_iterable(found for _, found, _, _ in parts)), pa.binary()).dictionary_encode()
+        rank = np.argsort(pa.compute.array_sort_indices(encoded.dictionary).to_numpy())
+        term = np.repeat(rank[encoded.indices.to_numpy()], np.concatenate([lengths for _, _, lengths, _ in parts]))
+        group, counts, docs = (np.concatenate([getattr(run, name)[where] for run, _, _, where in parts]) for name in ("groups", "counts", "docs"))
+        keys, place = np.unique(term.astype(np.int64) << 32 | group, return_inverse=True)
+        sums = [np.zeros(len(keys), np.int64) for _ in range(2)]
+        for total, values in zip(sums, (counts, docs), strict=True):
+            np.add.at(total, place, values)
+        in_order = encoded.dictionary.take(pa.array(np.argsort(rank)))
+        yield in_order.take(pa.array(keys >> 32)), keys & 0xFFFFFFFF, *sums
 
 
 def merge_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Frequencies from rows in order of shard and run; one shard is held at a time."""
-    names = [part.split()[0] for part in FREQUENCY.split(", ")]
+    """Frequencies from segments in order of shard; one shard is held at a time."""
 
-    def flushed(runs: dict[int, list[pa.Table]]) -> Iterator[pa.RecordBatch]:
-        rows = merged([pa.concat_tables(parts).select(names) for parts in runs.values()])
-        while part := list(islice(rows, MERGED_ROWS)):
-            yield pa.RecordBatch.from_arrays([pa.array(v, _POSTING.field(n).type) for n, v in zip(names, zip(*part, strict=True), strict=True)], names)
+    def flushed(runs: list[Run], ids: dict[tuple[str, str], int]) -> Iterator[pa.RecordBatch]:
+        langs, sources = (pa.array([key[n] for key in ids], pa.string()) for n in range(2))
+        for term, group, counts, docs in merged(runs):
+            place = pa.array(group)
+            columns = [langs.take(place), sources.take(place), term.cast(pa.string()), pa.array(counts), pa.array(docs)]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "count", "docs"])
 
-    shard, runs = None, {}
+    shard, runs, ids = None, [], {}
     for batch in batches:
-        places = np.column_stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
-        cuts = [0, *(np.flatnonzero((places[1:] != places[:-1]).any(1)) + 1).tolist(), batch.num_rows]
-        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            if begin == end:
-                continue
-            if runs and places[begin, 0] != shard:
-                yield from flushed(runs)
-                runs = {}
-            shard = places[begin, 0]
-            runs.setdefault(int(places[begin, 1]), []).append(pa.Table.from_batches([batch.slice(begin, end - begin)]))
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
+            if runs and row["shard"] != shard:
+                yield from flushed(runs, ids)
+                runs, ids = [], {}
+            shard = row["shard"]
+            runs.append(Run(row, ids))
     if runs:
-        yield from flushed(runs)
+        yield from flushed(runs, ids)
 
 
-def frequencies(documents: DataFrame, stage: Stage, block_postings: int, shard_postings: int) -> DataFrame:
+def frequencies(documents: DataFrame, stage: Stage, block_postings: int, shards: int) -> DataFrame:
     """``count`` and ``docs`` of each language, source and term; a row with an empty term for each language and source."""
     rows = documents.select(*[F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ("lang", "source", "text")])
-    runs = stage(rows.mapInArrow(lambda batches: indexed(batches, block_postings), POSTING))
-    shards = 1 + runs.count() // shard_postings
-    shard = F.pmod(F.xxhash64("lang", "source", "term"), F.lit(shards)).cast("int").alias("shard")
-    dealt = runs.select(shard, "*").repartition("shard").sortWithinPartitions("shard", "run", "lang", "source", "term")
-    return stage(dealt.mapInArrow(merge_shards, FREQUENCY))
+    runs = stage(rows.mapInArrow(lambda batches: indexed(batches, block_postings, shards), SEGMENT))
+    return stage(runs.repartition("shard").sortWithinPartitions("shard", "run").mapInArrow(merge_shards, FREQUENCY))
 
 
 def share(count: str, n: str, v: str) -> Column:
@@ -219,7 +284,7 @@ def audit(
     min_documents: int = MIN_DOCUMENTS,
     top_terms: int = TOP_TERMS,
     block_postings: int = BLOCK_POSTINGS,
-    shard_postings: int = SHARD_POSTINGS,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value``, ``rank`` for every language and source of the documents.
 
@@ -233,7 +298,7 @@ def audit(
     other source (a source), never its documents.
     """
     stage = Stage(documents.sparkSession)
-    found = frequencies(documents, stage, block_postings, shard_postings)
+    found = frequencies(documents, stage, block_postings, shards)
     of_term = Window.partitionBy("lang", "term")
     kept = found.where("term <> ''").select(
         "lang", "term", "source", "count",

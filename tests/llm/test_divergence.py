@@ -72,36 +72,44 @@ def made(n, seed):
         yield chance.choice(["en", "de", "", None]), f"s{int(chance.random() ** 2 * 5)}", chance.choice([text, text, text, None])
 
 
-@pytest.mark.parametrize("block, shard", [(200_000, 250_000), (7, 10)])
-def test_against_all_terms_of_all_pairs(spark, monkeypatch, block, shard):
+@pytest.mark.parametrize("block, shards", [(1_000_000, 1024), (7, 3)])
+def test_against_all_terms_of_all_pairs(spark, block, shards):
     rows = [*made(200, 1), ("fr", "alone", "un deux"), ("it", "a", ""), ("it", "b", None), (None, None, None)]
     df = spark.createDataFrame(rows, "lang string, source string, text string").repartition(3)
-    found = got(divergence.audit(df, 4, 3, block, shard))
+    found = got(divergence.audit(df, 4, 3, block, shards))
     assert found == plain(rows, 4, 3)
     assert ("it", "a", "pair", "b", 0, 1) in found and not any(row[0] == "fr" for row in found)
 
 
-def test_a_full_block_spills_sorted_runs():
+def filled(seeds):
     block = divergence.Block()
-    for lang, source, text in made(60, 2):
-        block.add(lang or "", source, text or "")
-    rows = [tuple(row.values()) for batch in block.run(3) for row in batch.to_pylist()]
-    assert [r[1:4] for r in rows] == sorted(r[1:4] for r in rows) and len(rows) == block.size
-    assert {r[0] for r in rows} == {3}
-
-
-def test_merging_adds_equal_terms_of_runs():
-    import pyarrow as pa
-
-    whole, runs = divergence.Block(), []
-    for at in range(4):
-        part = divergence.Block()
-        for lang, source, text in made(40, at):
-            for block in (whole, part):
-                block.add(lang or "", source, text or "")
-        runs.append(pa.Table.from_batches(list(part.run(at))).drop(["run"]))
-    expected = [tuple(row.values())[1:] for batch in whole.run(0) for row in batch.to_pylist()]
-    assert list(divergence.merged(runs)) == expected
+    for seed in seeds:
+        for lang, source, text in made(60, seed):
+            block.add(lang or "", source, text or "")
+    return block
+
+
+def test_a_full_block_spills_segments_in_order_of_term():
+    block = filled([2])
+    rows = [row for batch in block.run(3, 4) for row in batch.to_pylist()]
+    assert {row["run"] for row in rows} == {3} and len({row["shard"] for row in rows}) == len(rows) <= 4
+    assert all((found := row["terms"].split(b" ")) == sorted(set(found)) for row in rows)
+    assert sum(len(row["counts"]) // 8 for row in rows) == block.size
+
+
+@pytest.mark.parametrize("size", [1, 3, 8192])
+def test_merging_adds_equal_terms_of_runs(size):
+    whole, ids, runs = filled(range(5)), {}, []
+    for seed in range(5):
+        runs += [divergence.Run(row, ids) for batch in filled([seed]).run(seed, 1) for row in batch.to_pylist()]
+    found, names = {}, list(ids)
+    last = b""
+    for terms, groups, counts, docs in divergence.merged(runs, size):
+        terms = terms.to_pylist()
+        assert terms == sorted(terms) and (not found or terms[0] > last)
+        last = terms[-1]
+        found |= {(*names[g], t): (c, d) for t, g, c, d in zip(terms, groups, counts.tolist(), docs.tolist(), strict=True)}
+    assert found == {(*key, t): (c[t], d[t]) for key, (c, d) in whole.groups.items() for t in c}
 
 
 def test_given_documents_against_sql(spark):
