@@ -29,7 +29,7 @@ from shelfledger.llm.common import Stage
 
 MIN_DOCUMENTS, UNIT, PRIOR, TOP_TERMS = 10, 1_000_000_000, 2, 10
 #: Postings that a task holds before it spills a run; hash shards; terms of a run merged at a time.
-BLOCK_POSTINGS, SHARDS, MERGED_TERMS = 1_000_000, 1024, 1 << 13
+BLOCK_POSTINGS, SHARDS, MERGED_TERMS = 500_000, 1024, 1 << 13
 #: Pairs computed at a time; pairs summed in a task.
 PAIR_SLICE, HELD_PAIRS = 1 << 20, 1 << 19
 
@@ -54,7 +54,8 @@ def terms(text: str) -> list[bytes]:
 class Block:
     """Postings of documents: for each language and source, occurrences and documents by term.
 
-    The empty term stands for the source itself, so that sources without terms are known.
+    The empty term stands for the source itself, so that sources without terms are known. Of documents, those beyond a
+    term's first are counted, as most terms have no other.
     """
 
     def __init__(self):
@@ -63,12 +64,12 @@ class Block:
 
     def add(self, lang: str, source: str, text: str) -> None:
         if (lang, source) not in self.groups:
-            self.groups[lang, source] = Counter({b"": 0}), Counter({b"": 0})
+            self.groups[lang, source] = Counter({b"": 0}), Counter()
             self.size += 1
         counts, docs = self.groups[lang, source]
         found, had = terms(text), len(counts)
+        docs.update(set(found) & counts.keys())
         counts.update(found)
-        docs.update(set(found))
         self.size += len(counts) - had
 
     def run(self, number: int, shards: int = SHARDS) -> Iterator[pa.RecordBatch]:
@@ -82,7 +83,7 @@ class Block:
             shard.append(np.array([zlib.crc32(term, seed) for term in own], np.int64) % shards)
             group.append(np.full(len(own), place, np.int32))
             counts.append(np.array(list(of_count.values()), np.int64))
-            docs.append(np.array(list(map(of_docs.__getitem__, own)), np.int64))
+            docs.append(1 + np.array(list(map(of_docs.__getitem__, own)), np.int64))
         if not found:
             return
         of_term = pa.array(found, pa.binary())
