@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfledger.sources.staging import Staging
 
@@ -27,3 +27,14 @@ class Stage:
 
     def folder(self, name: str) -> str:
         return f"{self.staging.path}/{name}"
+
+
+def whole_row(columns: list[str], name: str) -> Column:
+    """Columns of a user in one struct, where no name of theirs meets one of an operator's own."""
+    fields = [F.col(f"`{column}`") for column in columns] or [F.lit(True).alias("none")]
+    return F.struct(*fields).alias(name)
+
+
+def fields_of(name: str, columns: list[str], prefix: str = "") -> list[Column]:
+    """The columns that ``whole_row`` put away."""
+    return [F.col(f"{prefix}{name}").getField(column).alias(column) for column in columns]

@@ -2,21 +2,29 @@
 
 Documents are counted by source, language and topic. Iterative proportional fitting scales the cells' tokens until their
 sums over each of the three match target shares; a document is sampled with a probability in proportion to the weight of
-its cell. Cells and margins are tables all the way, so any number of sources is fitted alike.
+its cell.
+
+The margin with the most values stays a table, one row for each value with its cells. The factors of the other two are held
+by the driver, which needs one sum for each pair of their values from a round: one job, whose sums also tell how far the
+targets are met. Where even those pairs are too many, cells and margins are tables all the way.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from shelfledger.llm.common import Stage
+from shelfledger.llm.common import Stage, fields_of, whole_row
 from shelfledger.llm.shingles import runs, word_hashes
 
+LOG = logging.getLogger("shelfledger")
 MARGINS = ("source", "lang", "topic")
 #: Default targets: shares to this power, scaled to one again. 1 keeps the mix, 0 makes all equal.
 TEMPER = 0.7
@@ -26,7 +34,11 @@ SEED = 17
 TOPICS, WORD_SLOTS, TOPIC_SAMPLE, TOPIC_STEPS = 6, 64, 10_000, 20
 #: Passes end when no number of a centre moves by so much. Sums are added in units of 1 / SUM_UNITS.
 TOPIC_MOVE, SUM_UNITS = 1e-4, 1 << 30
+ROUND_UNITS = 1 << 20
 STEPS_PER_OCTAVE = 64
+#: Pairs of values of the two smaller margins that the driver may hold.
+HELD_PAIRS = 1 << 20
+OUTPUTS = ("m_source", "m_lang", "m_topic", "m_tokens", "m_probability", "m_weight", "m_sampled")
 
 
 def word_shares(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -74,26 +86,49 @@ def moved(centres: np.ndarray, sums: np.ndarray, counts: np.ndarray) -> np.ndarr
     return sums / np.maximum(1e-12, np.linalg.norm(sums, axis=1))[:, None]
 
 
-def topic_centres(documents: DataFrame, topics: int = TOPICS, sample: int = TOPIC_SAMPLE) -> np.ndarray:
-    """Centres of topics: begun on a bounded sample, then moved by passes over all documents until they stay.
+def margins(documents: DataFrame) -> list[Column]:
+    """Source and language; the empty text where they are null or the column is missing."""
+    return [
+        F.coalesce(F.col(name).cast("string") if name in documents.columns else F.lit(None), F.lit("")).alias(f"m_{name}")
+        for name in MARGINS[:2]
+    ]
 
-    There are TOPIC_STEPS passes at most. The word shares are written once. A pass brings the driver one row of sums for each centre.
-    """
-    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    spark = documents.sparkSession
+
+def word_points(documents: DataFrame) -> DataFrame:
+    """``at`` (a hash of the id), the margins, the number of words and their shares, of every document, written once."""
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, shares = word_shares(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(shares), pa.list_(pa.float32()))], ["at", "shares"])
+            counts, shares = word_shares(batch.column(3))
+            found = [pa.array(counts, pa.int64()), pa.array(list(shares.astype(np.float32)), pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], ["at", "m_source", "m_lang", "m_tokens", "shares"])
+
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("at")
+    rows = documents.select(hashed, *margins(documents), F.col("text").cast("string").alias("text"))
+    schema = "at long, m_source string, m_lang string, m_tokens long, shares array<float>"
+    return Stage(documents.sparkSession)(rows.mapInArrow(vectors, schema))
+
+
+def topics_of(shares: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest centre, the first of equally near ones; shares as they were written, so that every pass finds the same."""
+    return np.round(shares.astype(np.float32).astype(np.float64) @ centres.T, 9).argmax(1) if len(shares) else np.empty(0, np.int64)
+
+
+def topic_centres(documents: DataFrame, topics: int = TOPICS, sample: int = TOPIC_SAMPLE) -> np.ndarray:
+    return centres_of(word_points(documents), topics, sample)
+
 
-    rows = documents.select(hashed.alias("at"), F.col("text").cast("string").alias("text"))
-    shares = Stage(spark)(rows.mapInArrow(vectors, "at long, shares array<float>"))
-    n = shares.count()
+def centres_of(points: DataFrame, topics: int = TOPICS, sample: int = TOPIC_SAMPLE) -> np.ndarray:
+    """Centres of topics: begun on a bounded sample, then moved by passes over all documents until they stay.
+
+    There are TOPIC_STEPS passes at most. A pass brings the driver one row of sums for each centre.
+    """
+    spark = points.sparkSession
+    n = points.count()
     if not n:
         return np.zeros((1, WORD_SLOTS))
-    centres = first_centres(shares, n, topics, sample)
-    points = shares.select("shares")
+    centres = first_centres(points.select("at", "shares"), n, topics, sample)
+    shares = points.select("shares")
     for _ in range(TOPIC_STEPS):
         shared = spark.sparkContext.broadcast(centres)
 
@@ -106,7 +141,7 @@ def topic_centres(documents: DataFrame, topics: int = TOPICS, sample: int = TOPI
             columns = [pa.array(np.arange(len(counts)), pa.int32()), pa.array(counts), pa.array(list(totals), pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, ["centre", "n", "sums"])
 
-        found = points.mapInArrow(sums, "centre int, n long, sums array<double>").select("centre", "n", F.posexplode("sums").alias("slot", "sum"))
+        found = shares.mapInArrow(sums, "centre int, n long, sums array<double>").select("centre", "n", F.posexplode("sums").alias("slot", "sum"))
         # Summed as whole numbers, so that the order of tasks changes nothing.
         found = found.groupBy("centre", "slot").agg(F.sum("n").alias("n"), F.sum(F.round(F.col("sum") * SUM_UNITS).cast("decimal(38,0)")).alias("sum"))
         totals, counts = np.zeros(centres.shape), np.zeros(len(centres), np.int64)
@@ -119,22 +154,35 @@ def topic_centres(documents: DataFrame, topics: int = TOPICS, sample: int = TOPI
     return centres
 
 
-def with_topics(documents: DataFrame, centres: np.ndarray, carried: list[str]) -> DataFrame:
-    """The carried columns, the three margins (a null source or language is the empty text) and the number of words."""
+def counted_cells(points: DataFrame, centres: np.ndarray) -> DataFrame:
+    """Tokens by source, language and topic, from the shares that are written."""
+    shared = points.sparkSession.sparkContext.broadcast(centres)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            topics = topics_of(batch.column(3).flatten().to_numpy().reshape(-1, WORD_SLOTS), shared.value)
+            names = pa.array([f"topic{n}" for n in topics.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], names], ["m_source", "m_lang", "m_tokens", "m_topic"])
+
+    rows = points.select("m_source", "m_lang", "m_tokens", "shares")
+    rows = rows.mapInArrow(assign, "m_source string, m_lang string, m_tokens long, m_topic string")
+    return rows.groupBy(*(f"m_{name}" for name in MARGINS)).agg(F.sum("m_tokens").alias("tokens"))
+
+
+def with_topics(documents: DataFrame, centres: np.ndarray, kept: list[str]) -> DataFrame:
+    """``m_row`` with the columns to keep, ``m_id``, the three margins and the number of words."""
     shared = documents.sparkSession.sparkContext.broadcast(centres)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, shares = word_shares(batch.column(0))
-            topics = (shares @ shared.value.T).argmax(1) if len(shares) else np.empty(0, np.int64)
-            columns = [batch.column(n) for n in range(1, batch.num_columns)]
-            found = [pa.array([f"topic{n}" for n in topics.tolist()], pa.string()), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, *found], [*batch.schema.names[1:], "m_topic", "m_tokens"])
+            found = [pa.array([f"topic{n}" for n in topics_of(shares, shared.value).tolist()], pa.string()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *found], [*batch.schema.names[1:], "m_topic", "m_tokens"])
 
-    margins = [F.coalesce(F.col(name).cast("string"), F.lit("")).alias(f"m_{name}") for name in MARGINS[:2]]
-    rows = documents.select(F.col("text").cast("string").alias("m_text"), *carried, *margins)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("m_text").schema if f.name != "m_text")
-    return rows.mapInArrow(assign, f"{schema}, m_topic string, m_tokens bigint")
+    text, own = F.col("text").cast("string").alias("m_text"), F.col("doc_id").alias("m_id")
+    rows = documents.select(text, whole_row(kept, "m_row"), own, *margins(documents))
+    schema = StructType([*rows.schema.fields[1:], StructField("m_topic", StringType()), StructField("m_tokens", LongType())])
+    return rows.mapInArrow(assign, schema)
 
 
 def tempered(cells: DataFrame, margin: str, power: float = TEMPER) -> DataFrame:
@@ -146,13 +194,143 @@ def tempered(cells: DataFrame, margin: str, power: float = TEMPER) -> DataFrame:
 
 
 def rake(
-    cells: DataFrame, targets: dict[str, DataFrame], stage: Stage, tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS
+    cells: DataFrame,
+    targets: dict[str, DataFrame],
+    stage: Stage,
+    tolerance: float = TOLERANCE,
+    max_rounds: int = MAX_ROUNDS,
+    held_pairs: int = HELD_PAIRS,
 ) -> DataFrame:
     """Scale ``weight``, at first the cell's ``tokens``, until its sums match the target shares of all tokens.
 
     A value without a target, or a target of zero, gives weight 0; a target for a value without tokens cannot be met and is
-    left out. Ends when every sum is within ``tolerance`` of its target, by its ratio, or after ``max_rounds``.
+    left out. Ends when every sum is within ``tolerance`` of its target, by its ratio, or after ``max_rounds``, then with a
+    warning.
+    """
+    names = list(targets)
+    counts = cells.agg(F.sum("tokens").alias("tokens"), *[F.count_distinct(name).alias(name) for name in names]).first()
+    long, *held = sorted(names, key=lambda name: -counts[name])
+    total = float(counts["tokens"] or 0)
+    if not total:
+        return cells.withColumn("weight", F.col("tokens").cast("double"))
+    if counts[held[0]] * counts[held[1]] > held_pairs:
+        return rake_tables(cells, targets, stage, tolerance, max_rounds)
+    # At most HELD_PAIRS values of each of the two.
+    values = [[row[0] for row in cells.select(name).distinct().orderBy(name).collect()] for name in held]
+    shares = [{row["value"]: row["share"] for row in targets[name].collect()} for name in held]
+    wanted = [np.array([shares[n].get(value) or 0.0 for value in values[n]]) * total for n in range(2)]
+    places = [{value: at for at, value in enumerate(found)} for found in values]
+    shared = cells.sparkSession.sparkContext.broadcast(places)
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, right = shared.value
+        for batch in batches:
+            pairs = [left[a] * len(right) + right[b] for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pairs, pa.int64()), batch.column(3)], ["value", "pair", "tokens"])
+
+    rows = cells.select(F.col(long).alias("value"), *held, "tokens").mapInArrow(numbered, "value string, pair long, tokens long")
+    rows = rows.groupBy("value").agg(F.collect_list(F.struct("pair", "tokens")).alias("cells"))
+    rows = stage(rows.join(targets[long].select("value", "share"), "value", "left").select(
+        "value", (F.coalesce("share", F.lit(0.0)) * total).alias("wanted"), "cells.pair", "cells.tokens"
+    ))
+    shape = (len(values[0]), len(values[1]))
+    factors, before, met = [np.ones(n) for n in shape], None, False
+    for _ in range(max_rounds):
+        sums, off = pair_sums(rows, np.outer(*factors).ravel(), before, stage)
+        if before is not None and off <= tolerance and _off(margin_sums(held_sums, factors), wanted) <= tolerance:
+            met = True
+            break
+        held_sums, before = sums.reshape(shape), np.outer(*factors).ravel()
+        for n in range(2):
+            at = margin_sums(held_sums, factors, n)
+            factors[n] = factors[n] * np.divide(wanted[n], at, out=np.zeros(shape[n]), where=at > 0)
+    if not met:
+        LOG.warning("target shares are not met within %s after %s rounds", tolerance, max_rounds)
+    return weighted(rows, np.outer(*factors).ravel(), before, values, long, held)
+
+
+def margin_sums(sums: np.ndarray, factors: list[np.ndarray], only: int | None = None):
+    """Weights by the value of each held margin. ``sums`` has the tokens of its pairs, times the factors of the long margin."""
+    found = [(sums * np.outer(*factors)).sum(1 - n) for n in range(2)]
+    return found if only is None else found[only]
+
+
+def _off(sums: list[np.ndarray], wanted: list[np.ndarray]) -> float:
+    """How far sums are from their targets, by their ratio; values without tokens cannot meet theirs."""
+    there = [(s > 0) & (w > 0) for s, w in zip(sums, wanted, strict=True)]
+    return max((float(np.abs(s[t] / w[t] - 1).max()) for s, w, t in zip(sums, wanted, there, strict=True) if t.any()), default=0.0)
+
+
+def _row_sums(batch: pa.RecordBatch, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pair, tokens and owner of each cell, and the sum over each row's cells of tokens times the factor of their pair."""
+    lists = batch.column("pair")
+    pair, tokens = lists.flatten().to_numpy(), batch.column("tokens").flatten().to_numpy().astype(np.float64)
+    owner = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy())
+    return pair, tokens, owner, np.bincount(owner, tokens * factors[pair], batch.num_rows)
+
+
+def _scaled(wanted: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    return np.divide(wanted, sums, out=np.zeros(len(sums)), where=sums > 0)
+
+
+def pair_sums(rows: DataFrame, factors: np.ndarray, before: np.ndarray | None, stage: Stage) -> tuple[np.ndarray, float]:
+    """One round over the long margin: its new factors times the tokens, summed by pair of the others' values.
+
+    Also how far its sums are from their targets with the factors that it had for those ``before``.
     """
+    shared = rows.sparkSession.sparkContext.broadcast((factors, before))  # at most HELD_PAIRS numbers each
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, then = shared.value
+        totals, off = np.zeros(len(now)), 0.0
+        for batch in batches:
+            wanted = batch.column("wanted").to_numpy()
+            pair, tokens, owner, sums = _row_sums(batch, now)
+            totals += np.bincount(pair, tokens * _scaled(wanted, sums)[owner], len(now))
+            if then is not None:
+                held = _scaled(wanted, _row_sums(batch, then)[3]) * sums
+                off = max(off, _off([held], [wanted]))
+        seen = np.flatnonzero(totals)
+        columns = [pa.array(np.append(seen, -1), pa.int64()), pa.array(np.append(totals[seen], off))]
+        yield pa.RecordBatch.from_arrays(columns, ["pair", "sum"])
+
+    found = rows.mapInArrow(add, "pair long, sum double")
+    # Summed as whole numbers, so that the order of tasks changes nothing.
+    units = F.round(F.col("sum") * ROUND_UNITS).cast("decimal(38,0)")
+    found = found.groupBy("pair").agg(F.sum(units).alias("units"), F.max("sum").alias("most"))
+    sums, off = np.zeros(len(factors)), 0.0
+    for row in found.collect():
+        if row.pair < 0:
+            off = row.most
+        else:
+            sums[row.pair] = float(row.units) / ROUND_UNITS
+    shared.unpersist()
+    return sums, off
+
+
+def weighted(
+    rows: DataFrame, factors: np.ndarray, before: np.ndarray, values: list[list[str]], long: str, held: list[str]
+) -> DataFrame:
+    """The cells with their weights: the long margin's factors are those of its last round."""
+    shared = rows.sparkSession.sparkContext.broadcast((factors, before, values))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, then, names = shared.value
+        for batch in batches:
+            pair, tokens, owner, sums = _row_sums(batch, then)
+            weights = tokens * now[pair] * _scaled(batch.column("wanted").to_numpy(), sums)[owner]
+            columns = [batch.column("value").take(pa.array(owner)), pa.array([names[0][n] for n in (pair // len(names[1])).tolist()], pa.string())]
+            columns += [pa.array([names[1][n] for n in (pair % len(names[1])).tolist()], pa.string()), pa.array(tokens.astype(np.int64)), pa.array(weights)]
+            yield pa.RecordBatch.from_arrays(columns, [long, *held, "tokens", "weight"])
+
+    schema = f"{long} string, {held[0]} string, {held[1]} string, tokens long, weight double"
+    return rows.mapInArrow(weigh, schema)
+
+
+def rake_tables(
+    cells: DataFrame, targets: dict[str, DataFrame], stage: Stage, tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS
+) -> DataFrame:
+    """As ``rake``, with a table for each margin: three joins and groupings in a round."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     cells = cells.withColumn("weight", F.col("tokens").cast("double"))
     wanted = stage(reduce(DataFrame.union, [shares.select(F.lit(m).alias("margin"), "value", "share") for m, shares in targets.items()]))
@@ -207,21 +385,21 @@ def mix(
     that is repeated gives the same sample. ``m_weight`` is 1 for most; where a probability would exceed 1, it is that
     excess, by which a sampled token counts more. Null source and language are values of their own (the empty text); a null
     or empty text has no tokens, and the ratio 1 if its cell has none. ``carried`` names the columns to keep, all by default;
-    columns that begin with ``m_`` are replaced.
+    any names but those of the seven new columns stay as they are.
     """
-    spark, stage = documents.sparkSession, Stage(documents.sparkSession)
-    kept = [name for name in (carried or documents.columns) if not name.startswith("m_")]
-    centres = topic_centres(documents)
+    stage = Stage(documents.sparkSession)
+    kept = [name for name in (carried or documents.columns) if name not in OUTPUTS]
+    points = word_points(documents)
+    centres = centres_of(points)
     names = [f"m_{name}" for name in MARGINS]
-    counted = with_topics(documents, centres, [])
-    cells = stage(counted.groupBy(*names).agg(F.sum("m_tokens").alias("tokens")))
+    cells = stage(counted_cells(points, centres))
     wanted = {f"m_{name}": shares for name, shares in (targets or {}).items()}
     wanted = {name: wanted[name] if name in wanted else tempered(cells, name) for name in names}
-    raked = rake(cells, wanted, stage)
+    raked = stage(rake(cells, wanted, stage))
     scale = scale_for(raked, kept_tokens)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(1.0) * scale
     raked = raked.select(*names, F.least(ratio, F.lit(1.0)).alias("m_probability"), F.greatest(ratio, F.lit(1.0)).alias("m_weight"))
     draw = F.pmod(F.xxhash64("m_id", F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    rows = with_topics(documents.withColumn("m_id", F.col("doc_id")), centres, [*kept, "m_id"])
+    rows = with_topics(documents, centres, kept)
     rows = rows.join(raked, names, "left").withColumn("m_sampled", draw < F.col("m_probability"))
-    return rows.select(*kept, *names, "m_tokens", "m_probability", "m_weight", "m_sampled")
+    return rows.select(*fields_of("m_row", kept), *OUTPUTS)

@@ -21,7 +21,8 @@ def raked_plainly(tokens, targets, rounds=200):
     return weights
 
 
-def test_raking_against_arrays(spark):
+@pytest.mark.parametrize("held_pairs", [mixing.HELD_PAIRS, 0])
+def test_raking_against_arrays(spark, held_pairs):
     rng = np.random.default_rng(1)
     tokens = rng.integers(1, 1000, (5, 3, 4))
     tokens[0, 0, 0] = 0
@@ -32,7 +33,7 @@ def test_raking_against_arrays(spark):
         f"m_{name}": spark.createDataFrame([(str(n), float(s)) for n, s in enumerate(share)], "value string, share double")
         for name, share in zip(mixing.MARGINS, targets, strict=True)
     }
-    got = mixing.rake(cells, tables, Stage(spark), tolerance=1e-7).collect()
+    got = mixing.rake(cells, tables, Stage(spark), tolerance=1e-7, held_pairs=held_pairs).collect()
     expected = raked_plainly(tokens, targets)
     for r in got:
         at = tuple(int(r[f"m_{name}"]) for name in mixing.MARGINS)
@@ -80,10 +81,12 @@ def test_own_targets_and_repeat(spark):
 def test_rows(spark):
     rows = [(1, "a", "en", "x y", "z"), (1, "a", "en", "x y", "z"), (None, None, None, None, None), (3, "b", "", "", "z"), (4, "b", "fr", "w " * 90_000, "z")]
     df = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string, m_tokens string")
-    got = mixing.mix(df).collect()
+    odd = df.selectExpr("*", "'u' as m_extra", "1 as m_id", "2 as m_row", "3 as tokens", "4 as weight", "5 as m_text", "6 as `a.b`")
+    got = mixing.mix(odd).collect()
+    assert {tuple(r[name] for name in ("m_extra", "m_id", "m_row", "tokens", "weight", "m_text", "a.b")) for r in got} == {("u", 1, 2, 3, 4, 5, 6)}
     assert len(got) == 5 and all(0 <= r.m_probability <= 1 <= r.m_weight for r in got)
     assert {r.m_tokens for r in got} == {2, 0, 90_000} and len({r.m_sampled for r in got if r.doc_id == 1}) == 1
-    assert "m_source" in got[0] and next(r for r in got if r.doc_id is None).m_source == ""
+    assert next(r for r in got if r.doc_id is None).m_source == ""
     assert mixing.mix(df.limit(0)).collect() == []
     assert mixing.mix(df.where(F.col("text").isNull())).count() == 1
 
