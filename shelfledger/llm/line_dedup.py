@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfledger.llm.common import Stage
+from shelfledger.llm.common import Stage, fields_of, whole_row
 
 WINDOW, DIVISOR, FACTOR = 2, 2, 31
 MIN_LINES, MIN_WORDS = 2, 50
@@ -118,13 +118,15 @@ def dedup_lines(
     untouched = F.col("n_removed_lines") == 0
     by_document = by_document.withColumn("kept", F.when(~untouched, F.col("kept")))
     others = [name for name in documents.columns if name not in ("n_lines", "n_removed_lines")]
+    untold = [name for name in others if name != text_column]
     text = F.col(text_column).cast("string")
-    keys = {"key_id": F.col(id_column), "key_text": F.xxhash64(text), "data": text.cast("binary")}
-    joined = documents.select(*others).withColumns(keys).alias("t").join(by_document.alias("w"), _null_safe("t", "w", KEY), "left")
+    keys = [F.col(id_column).alias("key_id"), F.xxhash64(text).alias("key_text"), text.cast("binary").alias("data")]
+    joined = documents.select(whole_row(untold, "row"), *keys).alias("t").join(by_document.alias("w"), _null_safe("t", "w", KEY), "left")
     left = F.array_join(F.transform("w.kept", lambda p: _bytes(p).cast("string")), "\n")
     new_text = F.when(F.col("w.kept").isNull(), F.col("t.data").cast("string")).otherwise(left)
     counts = [F.coalesce(f"w.{name}", F.lit(0)).alias(name) for name in ("n_lines", "n_removed_lines")]
-    return joined.select(*(new_text.alias(name) if name == text_column else F.col(f"t.{name}") for name in others), *counts)
+    columns = dict(zip(untold, fields_of("row", untold, "t."), strict=True))
+    return joined.select(*(new_text.alias(name) if name == text_column else columns[name] for name in others), *counts)
 
 
 ORACLE_SQL = f"""

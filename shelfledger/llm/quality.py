@@ -14,8 +14,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
+from shelfledger.llm.common import fields_of, whole_row
 from shelfledger.llm.shingles import runs, word_hashes
 
 #: Documents to fit on, on average: so many with a label, and so many without; of either never more than twice as many.
@@ -167,15 +169,15 @@ def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return text_features(column["_text"]), page
 
 
-def _prepared(documents: DataFrame) -> DataFrame:
-    """The columns of both views; those that a table lacks are null."""
+def _prepared(documents: DataFrame, *kept: Column | str) -> DataFrame:
+    """What is kept, and the columns of both views; those that a table lacks are null."""
 
     def column(name: str, kind: str):
         return (F.col(name) if name in documents.columns else F.lit(None)).cast(kind).alias(f"_{name}")
 
     text = column("text", "string")
     lines = (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("_n_lines")
-    return documents.select(*documents.columns, text, column("source", "string"), column("lang", "string"), column("n_chars", "long"), lines)
+    return documents.select(*kept, text, column("source", "string"), column("lang", "string"), column("n_chars", "long"), lines)
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id") -> CoTrained | None:
@@ -197,7 +199,11 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column
     def chosen(labelled: bool) -> DataFrame:
         share = min(1.0, sample / max(1, counts.get(labelled, 0)))
         some = ids.where((F.col("_quality").isNotNull() == labelled) & (hashed < int(share * (1 << 40)))).dropDuplicates(["_id"])
-        return _prepared(rows.select(columns).join(F.broadcast(some), "_id")).withColumn("_calibrates", calibrates)  # about sample ids
+        found = rows.select(columns).join(F.broadcast(some), "_id")  # about sample ids
+        # Of rows that repeat an id, the least, so that no order of tasks decides; repeats go before they move.
+        one = F.min(F.struct(*[c for c in found.columns if c != "_id"])).alias("one")
+        found = found.groupBy("_id").agg(one).select("_id", "one.*")
+        return _prepared(found, "_id", "_quality").withColumn("_calibrates", calibrates)
 
     names = ["_id", "_quality", "_calibrates", "_text", "_source", "_lang", "_n_chars", "_n_lines"]
 
@@ -208,7 +214,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in range(3)), *lists], ["id", "quality", "calibrates", "text", "page"])
 
     schema = "id long, quality double, calibrates boolean, text array<float>, page array<float>"
-    found = [chosen(labelled).select(names).mapInArrow(features, schema).limit(2 * sample).toArrow() for labelled in (True, False)]
+    found = [chosen(labelled).select(names).mapInArrow(features, schema).toArrow() for labelled in (True, False)]
     found = pa.concat_tables(found)
     if not found.num_rows:
         return None
@@ -228,7 +234,7 @@ def score(documents: DataFrame, model: CoTrained | None, carried: list[str] | No
     """
     added = ("text_score", "page_score", "score", "kept")
     others = [name for name in (carried or documents.columns) if name not in added]
-    prepared = _prepared(documents).select(*others, *(f"_{name}" for name in ("text", "source", "lang", "n_chars", "n_lines")))
+    prepared = _prepared(documents, whole_row(others, "_row"))
     shared = documents.sparkSession.sparkContext.broadcast(model)  # a few thousand numbers
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,11 +245,10 @@ def score(documents: DataFrame, model: CoTrained | None, carried: list[str] | No
             else:
                 scores = fitted.scores(*_views(batch))
             kept = scores[2] >= (fitted.threshold if fitted else 0.0)
-            columns = [batch.column(n) for n in range(len(others))]
-            yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, scores), pa.array(kept)], [*others, *added])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, scores), pa.array(kept)], ["_row", *added])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*others).schema)
-    return prepared.mapInArrow(apply, f"{schema}, text_score double, page_score double, score double, kept boolean")
+    schema = StructType([prepared.schema["_row"], *[StructField(name, DoubleType()) for name in added[:3]], StructField("kept", BooleanType())])
+    return prepared.mapInArrow(apply, schema).select(*fields_of("_row", others), *added)
 
 
 def classify(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, carried: list[str] | None = None) -> DataFrame:
