@@ -41,7 +41,8 @@ BLOCK_ROWS = 1024
 #: Keys that a set carries into the scan, so that a pair comes out of one list and not of each that it shares.
 CARRIED_KEYS = 64
 PAIRS_PER_TASK = 2000
-FILTER_BITS = 1 << 24
+#: Flags of wanted ids: so many for each, between these bounds.
+FLAGS_EACH, LEAST_FLAGS, MOST_FLAGS = 16, 1 << 20, 1 << 28
 LARGEST_BOUNDARY = 256
 MIN_SLOTS, MAX_SLOTS, FULL = 32, 8192, 255
 SUBSET_MARK = np.uint64(0xA0761D6478BD642F)
@@ -290,32 +291,40 @@ def _index(rows: DataFrame, size: int, threshold: Threshold, stage: Stage) -> Da
 
 
 def _filter_of(ids: DataFrame) -> np.ndarray:
-    """A bit for each hash of an id, in a table of fixed size."""
-    bit = F.col("hash").bitwiseAND(F.lit(FILTER_BITS - 1))
+    """A flag for each hash of an id; about FLAGS_EACH times as many flags as ids, MOST_FLAGS at most."""
+    flags = 1 << max(LEAST_FLAGS.bit_length() - 1, (FLAGS_EACH * ids.count()).bit_length())
+    flags = min(flags, MOST_FLAGS)
+    bit = F.col("hash").bitwiseAND(F.lit(flags - 1))
     words = ids.select(F.shiftright(bit, 6).cast("int").alias("word"), F.expr("shiftleft(1L, int(hash & 63))").alias("bits"))
-    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
-    table = np.zeros(FILTER_BITS // 64, np.int64)
+    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most MOST_FLAGS / 64 rows
+    table = np.zeros(flags // 64, np.int64)
     table[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+    return table.view(np.uint8)
 
 
 def _wanted_sets(rows: DataFrame, owners: DataFrame, pairs: DataFrame, size: int, stage: Stage) -> DataFrame:
-    """sig, shingles (as bytes) of the sets in pairs: one text of each is read again and hashed. May hold others too."""
+    """sig, shingles (as bytes) of the sets in pairs: one text of each is read again and hashed. May hold others too.
+
+    Rows that repeat a text give one set, first in each task, then in all.
+    """
     sigs = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
-    filtered = _filter_of(owners.select("sig", "hash").join(sigs, "sig", "left_semi"))
-    shared = rows.sparkSession.sparkContext.broadcast(filtered)  # FILTER_BITS flags
+    filtered = _filter_of(stage(owners.select("sig", "hash").join(sigs, "sig", "left_semi")))
+    shared = rows.sparkSession.sparkContext.broadcast(filtered)  # MOST_FLAGS bits at most
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags, given = shared.value, set()
         for batch in batches:
-            hashes = batch.column(0).to_numpy()
-            at = np.flatnonzero(shared.value[hashes & (FILTER_BITS - 1)])
+            place = batch.column(0).to_numpy() & (8 * len(flags) - 1)
+            at = np.flatnonzero(flags[place >> 3] >> (place & 7).astype(np.uint8) & 1)
             if len(at):
-                sets = list(shingle_sets(batch.column(1).take(pa.array(at)), size))
-                columns = [pa.array([signature(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets])]
+                sets = {signature(s): s for s in shingle_sets(batch.column(1).take(pa.array(at)), size)}
+                new = [sig for sig in sets if sig not in given]
+                given.update(new)
+                columns = [pa.array(new, pa.int64()), pa.array([sets[sig].tobytes() for sig in new], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["sig", "shingles"])
 
     hashed = rows.select(F.xxhash64("doc_id").alias("hash"), "text")
-    return hashed.mapInArrow(scan, "sig bigint, shingles binary")
+    return hashed.mapInArrow(scan, "sig bigint, shingles binary").dropDuplicates(["sig"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:

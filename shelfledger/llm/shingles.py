@@ -1,7 +1,8 @@
 """Word shingles as 64-bit hashes, computed on the bytes of whole Arrow columns.
 
 Words are runs of bytes other than space and 0x09-0x0D, after lower-casing A-Z; so words of UTF-8 texts are exact. A word's
-hash is a polynomial over its bytes modulo 2^64, mixed; a shingle's hash mixes those of its words with their places.
+hash takes eight bytes at a time and mixes after each, all words of a run at once; longer words than LONG_WORD are hashed one
+by one. A shingle's hash mixes those of its words with their places.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-BASE = 0x9E3779B97F4A7C15 | 1
+SEED, ODD = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E3779B97F4A7C15)
+LONG_WORD = 64
+#: Masks for the lowest bytes of eight.
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(8)], np.uint64)
 STEP = 0xD6E8FEB86659FD93
 CHUNK_BYTES = 1 << 17
-MASK = (1 << 64) - 1
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -30,36 +33,29 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-class Powers:
-    """Powers of the base and of its inverse, as many as the longest text so far needs."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def of(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        while len(self.up) < size:
-            self.up = self._longer(self.up, BASE)
-            self.down = self._longer(self.down, pow(BASE, -1, 1 << 64))
-        return self.up[:size], self.down[:size]
-
-    @staticmethod
-    def _longer(powers: np.ndarray, base: int) -> np.ndarray:
-        return np.concatenate([powers, powers * np.uint64(pow(base, len(powers), 1 << 64))])
-
-
-POWERS = Powers()
-
-
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of each word of a run of bytes."""
-    data = LOWER[data]
-    inside = ~IS_SPACE[data]
+    size = len(data)
+    padded = np.zeros(size + 8, np.uint8)
+    padded[:size] = LOWER[data]
+    inside = ~IS_SPACE[padded[:size]]
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    up, down = POWERS.of(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-    return starts, mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    lengths = ends - starts
+    eights = np.ndarray(size + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    hashes = mixed(lengths.astype(np.uint64) + SEED)
+    active = np.flatnonzero(lengths <= LONG_WORD)
+    done = 0
+    while len(active):
+        left = lengths[active] - done
+        part = eights[starts[active] + done]
+        part = np.where(left < 8, part & LOW_BYTES[np.minimum(left, 7)], part)
+        hashes[active] = mixed((hashes[active] ^ part) * ODD)
+        done += 8
+        active = active[left > 8]
+    for at in np.flatnonzero(lengths > LONG_WORD).tolist():
+        hashes[at] = xxhash.xxh3_64_intdigest(padded[starts[at] : ends[at]].tobytes(), seed=int(SEED) & 0xFFFFFFFF)
+    return starts, hashes
 
 
 def distinct(hashes: np.ndarray) -> np.ndarray:

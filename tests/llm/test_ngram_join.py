@@ -8,11 +8,12 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, strategies as st
+from pyspark.sql import functions as F
 
 from shelfledger.llm import ngram_join as join
 from shelfledger.llm.common import Stage, table
 from shelfledger.llm.graph import components
-from shelfledger.llm.shingles import mixed, shingle_sets
+from shelfledger.llm.shingles import mixed, shingle_sets, word_hashes
 
 
 def plain_set(text, size):
@@ -144,3 +145,37 @@ def test_components(spark):
             if a in least and b in least:
                 least[a] = least[b] = min(least[a], least[b])
     assert got == least
+
+
+def test_words_built_against_polynomial_hashes_stay_apart(spark):
+    """The Thue-Morse word of 1,024 letters and its complement have equal polynomials over 64 bits, whatever the base."""
+    word = "".join("ab"[n.bit_count() % 2] for n in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    for length in (1024, 512, 64):
+        assert joined(spark, [(1, word[:length]), (2, other[:length])]) == [(1, 1, 1), (2, 1, 2)]
+
+
+@given(st.lists(st.text(alphabet="aAbé😀", min_size=1, max_size=90), min_size=1, max_size=8))
+def test_equal_words_have_equal_hashes_wherever_they_stand(words):
+    text = " ".join([*words, *reversed(words)])
+    _, hashes = word_hashes(np.frombuffer(text.encode(), np.uint8))
+    lowered = [w.translate({65: 97}) for w in [*words, *reversed(words)]]
+    assert len(set(zip(lowered, hashes.tolist(), strict=True))) == len(set(lowered)) == len(set(hashes.tolist()))
+
+
+def test_repeated_rows_are_hashed_into_one_set(spark):
+    rng = random.Random(8)
+    words = [f"w{n}" for n in range(60)]
+    near = [(n, " ".join([*words[:n], "x", *words[n + 1 :]])) for n in range(1, 12)]
+    rows = [(0, " ".join(words))] * 2000 + near
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    stage, prepared = Stage(spark), join._rows(df, "doc_id", "text")
+    docs = stage(join._sets(prepared, 5))
+    owners = docs.groupBy("sig").agg(F.min(F.xxhash64("doc_id")).alias("hash"))
+    sigs = [r.sig for r in owners.collect()]
+    pairs = spark.createDataFrame([(min(sigs[0], s), max(sigs[0], s)) for s in sigs[1:]], "a long, b long")
+    sets = join._wanted_sets(prepared, owners, pairs, 5, stage)
+    assert sets.count() == len(sigs) == 12
+    got = sorted(tuple(r) for r in join.ngram_join(df).collect())
+    assert got == plain_classes(rows, 5, 80, 100)
