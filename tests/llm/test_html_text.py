@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 from html import unescape
 
 import pytest
@@ -33,6 +34,20 @@ ARTICLE = "<article><h1>T &amp; U</h1><p>One,  two\n three.</p><p>Four</article>
         ("<", "<"),
         ("<p title='a>b'>c</p>", "c"),
         ("<p title=\"a>b>c</p>", "b>c"),
+        ('<article><p>See <a href="/hidden/gems">the hidden gems</a> here.</article>', "See the hidden gems here."),
+        ('<article><p>a</p><p><a href="/p?id=comment">b</a> c d e f</p><p title="This id is hidden">g</p></article>', "a\nb c d e f\ng"),
+        ("<article><p data-id=share>a</p><p data-role='promo'>b</p><a href=/x?a=hidden>c</a> d e f g</article>", "a\nb\nc d e f g"),
+        ("<article><p class='social-history'>a</p><p class='notice-period'>b</p><p id=headerless>c</p></article>", "a\nb\nc"),
+        ("<article><p>a</p><div class='cookie-notice'>b</div><div id=siteHeader>c</div><p class='related_posts x'>d</p></article>", "a"),
+        ("<article><div class=entry-header><h1>T</h1></div><p>a</p><div class='post-comments'><p>b</p></div></article>", "T\na"),
+        ("<body><div><section><h2>A</h2><p>" + "One, two, three. " * 20 + "</p></section><section><h2>B</h2><p>Short.</p></section></div>",
+         "A\n" + ("One, two, three. " * 20).strip() + "\nB\nShort."),
+        ("<body><article><h1>A</h1><p>x, y.</p></article><article><h1>B</h1><p>z.</p></article>", "A\nx, y.\nB\nz."),
+        ("<body><article><p>Teaser.</p></article><div id=text><p>" + "Long text, with commas. " * 40 + "</p></div>",
+         "Teaser.\n" + ("Long text, with commas. " * 40).strip()),
+        ("<body><h1>T</h1><div><div><p>" + "Long text, with commas. " * 9 + "</p></div></div><div><a>x</a> <a>y</a></div>",
+         "T\n" + ("Long text, with commas. " * 9).strip()),
+        ("<div class=widget><p>all there is</p><nav>x</nav></div>", "all there is"),
     ],
 )
 def test_main_text(html, text):
@@ -50,6 +65,30 @@ def test_deep_and_long_pages_are_linear():
     assert main_text("<article>" + "<p>word " * 100_000).count("\n") == 99_999
 
 
+@pytest.mark.parametrize("page", [lambda n: "<b>" * n + "x<hr>" * n, lambda n: "<div>" * n + "<li>x</li>" * n, lambda n: "<table><tr>" * n + "<td>x" * n])
+def test_twice_as_much_takes_about_twice_as_long(page):
+    def seconds(n):
+        html, times = page(n), []
+        for _ in range(3):
+            begin = time.process_time()
+            main_text(html)
+            times.append(time.process_time() - begin)
+        return min(times)
+
+    main_text(page(100))
+    assert seconds(40_000) < 3 * seconds(20_000) + 0.1
+
+
+def test_given_pages_without_article_elements(spark):
+    """The same text where only scores can tell the article."""
+    pages = table(spark, "/root/testdata/sf0.01", "pages").collect()
+    for row in pages:
+        html = row.html.replace("<article>", "<div>").replace("</article>", "</div>")
+        middle = re.search("<div>(.*)</div>", html, re.S)[1]
+        blocks = (" ".join(unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split("<p>|</p>|</h1>", middle))
+        assert main_text(html) == "\n".join(filter(None, blocks)) == main_text(row.html)
+
+
 def test_given_pages(spark):
     """The test pages keep their article apart; its blocks are read here by their plain markup."""
     folder = "/root/testdata/sf0.001"
