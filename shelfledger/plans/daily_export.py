@@ -316,17 +316,25 @@ class DailyExport:
         NULL where this report does not evaluate a gate: those on parameters and schemas, which stop a run before there
         is data to report on, and those that the parameters leave off.
         """
-        report = gates.union_all(
+        return self._report(gates.union_all([self.gates_before_result(), gates.result_gates(self)]), gates.not_evaluated(self.params))
+
+    def gates_before_result(self) -> DataFrame:
+        """All gates that precede the dense result."""
+        return gates.union_all(
             [
                 self.source_gates(),
                 self.ledger_gates(),
                 gates.population_gates(self),
                 gates.line_gates(self),
                 gates.calendar_gate(self),
-                gates.result_gates(self),
             ]
         )
-        silent = gates.not_evaluated(self.params)
+
+    def report_before_result(self) -> DataFrame:
+        """The same without those on the dense result, for sources that are not fit to give one."""
+        return self._report(self.gates_before_result(), gates.not_evaluated(self.params) | set(gates.ON_RESULT))
+
+    def _report(self, report: DataFrame, silent: set[str]) -> DataFrame:
         names = self.spark.createDataFrame([(g, g not in silent) for g in gates.GATES], "gate string, evaluated boolean")
         counted = report.groupBy("gate").agg(F.sum("violations").alias("violations"))
         return names.join(counted, "gate", "left").select(

@@ -57,6 +57,8 @@ GATES = {
 }
 #: Gates on parameters and schemas; they stop a run before there is data.
 BEFORE_DATA = ("G1", "G2", "G2b", "G3", "G4", "S5", "G7", "G8", "G9", "G10", "G23")
+#: Gates on the dense result; I-5 also compares the names of stores before it.
+ON_RESULT = ("G26", "I-1", "I-2", "I-2b", "I-3", "I-4", "I-5", "I-6", "I-8", "I-9")
 _ORDER = {gate: place for place, gate in enumerate(GATES)}
 _TOLERANCE = "0.000001"
 

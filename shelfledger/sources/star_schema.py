@@ -33,9 +33,22 @@ BUNDLE_BARCODE = 29  # 'H' barcode; also carries lines without a header and with
 BLANK_BARCODE = 31
 NULL_BARCODE = 37
 SHARED_BARCODE = (41, 43)  # one barcode for all such parts of a brand
+# Part sizes of retail products that carry faults where faults are asked for.
+UNKNOWN_QUANTITY = 3
+WITHOUT_POS_HEADER = 7
+WITHOUT_IMEX_HEADER = 11
 
 
-def star_schema_tables(spark: SparkSession, path: str) -> TableReader:
+def star_schema_tables(spark: SparkSession, path: str, faulty: bool = False) -> TableReader:
+    """The tables. ``faulty`` ones break gates: retail products have lines without a header or a quantity, some headers and
+    all promotions repeat, and a discount code stands for two promotions."""
+
+    def if_faulty(size: int) -> list[int]:
+        return [size] if faulty else []
+
+    def with_repeats(headers: DataFrame, remainder: int) -> DataFrame:
+        return headers.unionByName(headers.where(F.col("Code") % 64 == remainder)) if faulty else headers
+
     @cache
     def table(name: str) -> DataFrame:
         return spark.read.schema(STAR_SCHEMA[name]).parquet(f"{path}/{name}.parquet")
@@ -51,12 +64,12 @@ def star_schema_tables(spark: SparkSession, path: str) -> TableReader:
         percent = F.round(F.col("l_discount") * 100).cast("int")
         return lines().select(
             F.when(size == NEVER_SOLD, None).otherwise(F.col("l_partkey")).alias("Product"),
-            F.when(bundle & (F.col("l_linenumber") == 7), None)
+            F.when(size.isin(BUNDLE_BARCODE, *if_faulty(WITHOUT_POS_HEADER)) & (F.col("l_linenumber") == 7), None)
             .when(bundle & (F.col("l_linenumber") == 6), -1)
             .otherwise(F.col("l_orderkey"))
             .alias("PoSMaster"),
             F.when(size == DISCONTINUED, 0.0)
-            .when(bundle & (F.col("l_linenumber") == 1), None)
+            .when(size.isin(BUNDLE_BARCODE, *if_faulty(UNKNOWN_QUANTITY)) & (F.col("l_linenumber") == 1), None)
             .otherwise(F.col("l_quantity"))
             .alias("Qty"),
             F.col("l_extendedprice").alias("Amount"),
@@ -65,18 +78,19 @@ def star_schema_tables(spark: SparkSession, path: str) -> TableReader:
         )
 
     def pos_masters() -> DataFrame:
-        return table("orders").select(
+        headers = table("orders").select(
             F.col("o_orderkey").alias("Code"),
             (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("o_custkey").cast("int") % 1440)).alias(
                 "TransactionDate"
             ),
         )
+        return with_repeats(headers, 1)
 
     def imex_details() -> DataFrame:
         unknown = (F.col("l_tax") == 0.08) & (F.col("l_quantity") == 13)
         return lines().select(
             F.when(size == DISCONTINUED, None).otherwise(F.col("l_partkey")).alias("Product"),
-            F.when((size == BUNDLE_BARCODE) & (F.col("l_linenumber") == 7), None)
+            F.when(size.isin(BUNDLE_BARCODE, *if_faulty(WITHOUT_IMEX_HEADER)) & (F.col("l_linenumber") == 7), None)
             .otherwise(F.col("l_orderkey"))
             .alias("DocumentNo"),
             (F.col("l_quantity") + 1).alias("Quantity"),
@@ -97,7 +111,7 @@ def star_schema_tables(spark: SparkSession, path: str) -> TableReader:
         done_status = F.when(inbound, 3).otherwise(6)
         customer = F.col("o_custkey").cast("int")
         eff = F.col("o_orderdate") + F.make_dt_interval(customer % 30)
-        return table("orders").select(
+        headers = table("orders").select(
             F.col("o_orderkey").alias("Code"),
             eff.alias("EffDate"),
             kind.alias("DocumentType"),
@@ -108,6 +122,7 @@ def star_schema_tables(spark: SparkSession, path: str) -> TableReader:
             .otherwise(eff + F.make_dt_interval(F.lit(0), customer % 24))
             .alias("ReceiptDate"),
         )
+        return with_repeats(headers, 2)
 
     def products() -> DataFrame:
         key = F.col("p_partkey").cast("string")
@@ -150,17 +165,20 @@ def star_schema_tables(spark: SparkSession, path: str) -> TableReader:
         )
 
     def bundles() -> DataFrame:
-        code = F.col("n_nationkey")
-        return table("nation").select(F.when(code != 10, code).alias("Code"), (F.col("n_regionkey") + 1).alias("Promotion"))
+        code, promotion = F.col("n_nationkey"), F.col("n_regionkey") + 1
+        found = table("nation").select(F.when(code != 10, code).alias("Code"), promotion.alias("Promotion"))
+        second = found.where("Code = 7").select("Code", (F.col("Promotion") % 5 + 1).alias("Promotion"))
+        return found.unionByName(second) if faulty else found
 
     def promotions() -> DataFrame:
         region = F.col("r_regionkey")
-        return table("region").select(
+        found = table("region").select(
             F.when(region != 4, region + 1).alias("Code"),
             F.when(region == 2, F.lit("1997-01-01")).otherwise(F.lit("1995-01-01")).cast("date").alias("StartDate"),
             F.when(region == 2, F.lit("1999-12-31")).otherwise(F.lit("2001-12-31")).cast("date").alias("EndDate"),
             F.when(region == 1, 2).when(region == 2, 7).when(region == 3, 1).alias("Type"),
         )
+        return found.unionByName(found) if faulty else found
 
     tables = {
         "tbl_SYSConfiguration": lambda: table("region").select(
