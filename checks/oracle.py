@@ -395,7 +395,7 @@ ATTRIBUTE_COLUMNS = (
 _SUMMARY = ", ".join(f"{sql} AS {name}" for name, sql in DAILY_SUMMARY)
 _ATTRIBUTES = ", ".join(f'"{c}"' for c in ATTRIBUTE_COLUMNS)
 
-_SILENT = ("G1", "G2", "G2b", "G3", "G4", "S5", "G7", "G8", "G9", "G10", "G23", "G19")
+_SILENT = ("G1", "G2", "G2b", "G3", "G4", "S5", "S5t", "G7", "G8", "G9", "G10", "G23", "G19")
 _ON_RESULT = ("G26", "I-1", "I-2", "I-2b", "I-3", "I-4", "I-5", "I-6", "I-8", "I-9")
 _EARLY_GATES = f"""SELECT 'G5' AS gate, (SELECT (count(DISTINCT code) <> 1)::INTEGER FROM config WHERE code IS NOT NULL) AS violations
   UNION ALL SELECT 'G6', (SELECT (count(n_name) = 0)::INTEGER FROM config JOIN nation ON n_nationkey = code)
@@ -457,7 +457,9 @@ FAULTY = {
     "pos_detail": STEPS["pos_detail"][1]
     .replace("p_size = 29 AND l_linenumber = 7", "p_size IN (29, 7) AND l_linenumber = 7")
     .replace("p_size = 29 AND l_linenumber = 1", "p_size IN (29, 3) AND l_linenumber = 1"),
-    "imex_detail": STEPS["imex_detail"][1].replace("p_size = 29 AND l_linenumber = 7", "p_size IN (29, 11) AND l_linenumber = 7"),
+    "imex_detail": STEPS["imex_detail"][1]
+    .replace("p_size = 29 AND l_linenumber = 7", "p_size IN (29, 11) AND l_linenumber = 7")
+    .replace("CASE WHEN l_tax = 0.08", "CASE WHEN p_size = 19 AND l_linenumber = 5 THEN NULL WHEN l_tax = 0.08"),
     "pos_master": f"SELECT * FROM ({STEPS['pos_master'][1]}), range(CASE WHEN code % 64 = 1 THEN 2 ELSE 1 END)",
     "imex_master": f"SELECT * FROM ({STEPS['imex_master'][1]}), range(CASE WHEN code % 64 = 2 THEN 2 ELSE 1 END)",
     "bundle": f"""{STEPS['bundle'][1]} UNION ALL
@@ -636,7 +638,8 @@ def oracle_queries(gate_codes: list[str]) -> dict[str, str]:
             _gate_report(gate_codes, _SILENT, f"{_EARLY_GATES} UNION ALL {_RESULT_GATES}"),
         ),
     }
-    faulty = _gate_report(gate_codes, _SILENT + _ON_RESULT, _EARLY_GATES)
+    texts = "SELECT count(*) FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size = 19 AND l_linenumber = 5"
+    faulty = _gate_report(gate_codes, _SILENT + _ON_RESULT, f"{_EARLY_GATES} UNION ALL SELECT 'S5v', ({texts})")
     return {name: with_steps(reads, text) for name, (reads, text) in sql.items()} | {
         "gate_report_faulty": with_steps(_EARLY_READS, faulty, FAULTY)
     }

@@ -300,12 +300,10 @@ class DailyExport:
 
     def source_gates(self) -> DataFrame:
         s = self.sources
-        return gates.union_all(
-            [
-                gates.identity_gates(s.config, s.store),
-                gates.key_gates(s.product),
-            ]
-        )
+        found = [gates.identity_gates(s.config, s.store), gates.key_gates(s.product)]
+        if s.refused is not None:
+            found.append(gates.value_gates(s.refused))
+        return gates.union_all(found)
 
     def ledger_gates(self) -> DataFrame:
         return gates.ledger_gates(self)

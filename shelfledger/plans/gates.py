@@ -19,6 +19,8 @@ GATES = {
     "G3": "configuration table or column is missing",
     "G4": "store table or column is missing",
     "S5": "table or column is missing",
+    "S5t": "a column's type cannot be read as what it stands for",
+    "S5v": "values do not fit what their column is read as",
     "G5": "configuration does not name exactly one store",
     "G6": "configured store has no named store row",
     "K3": "configured store code has several names",
@@ -56,7 +58,7 @@ GATES = {
     "I-9": "published promotion sales differ from the promotion lines",
 }
 #: Gates on parameters and schemas; they stop a run before there is data.
-BEFORE_DATA = ("G1", "G2", "G2b", "G3", "G4", "S5", "G7", "G8", "G9", "G10", "G23")
+BEFORE_DATA = ("G1", "G2", "G2b", "G3", "G4", "S5", "S5t", "G7", "G8", "G9", "G10", "G23")
 #: Gates on the dense result; I-5 also compares the names of stores before it.
 ON_RESULT = ("G26", "I-1", "I-2", "I-2b", "I-3", "I-4", "I-5", "I-6", "I-8", "I-9")
 _ORDER = {gate: place for place, gate in enumerate(GATES)}
@@ -116,6 +118,10 @@ def identity_gates(config: DataFrame, store: DataFrame) -> DataFrame:
     )
 
 
+def value_gates(refused: DataFrame) -> DataFrame:
+    return _named("S5v", refused.groupBy("site").agg(F.sum("violations").alias("violations")))
+
+
 def key_gates(product: DataFrame) -> DataFrame:
     return _repeats("K1", product.where("product is not null"), "product")
 

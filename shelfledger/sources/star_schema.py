@@ -37,11 +37,12 @@ SHARED_BARCODE = (41, 43)  # one barcode for all such parts of a brand
 UNKNOWN_QUANTITY = 3
 WITHOUT_POS_HEADER = 7
 WITHOUT_IMEX_HEADER = 11
+TEXT_FOR_QUANTITY = 19
 
 
 def star_schema_tables(spark: SparkSession, path: str, faulty: bool = False) -> TableReader:
-    """The tables. ``faulty`` ones break gates: retail products have lines without a header or a quantity, some headers and
-    all promotions repeat, and a discount code stands for two promotions."""
+    """The tables. ``faulty`` ones break gates: retail products have lines without a header or a quantity or with a text in
+    its place, some headers and all promotions repeat, and a discount code stands for two promotions."""
 
     def if_faulty(size: int) -> list[int]:
         return [size] if faulty else []
@@ -88,13 +89,17 @@ def star_schema_tables(spark: SparkSession, path: str, faulty: bool = False) ->
 
     def imex_details() -> DataFrame:
         unknown = (F.col("l_tax") == 0.08) & (F.col("l_quantity") == 13)
+        received = F.when(unknown, None).otherwise(F.col("l_quantity") * 3)
+        if faulty:
+            text = (size == TEXT_FOR_QUANTITY) & (F.col("l_linenumber") == 5)
+            received = F.when(text, "n/a").otherwise(received.cast("string"))
         return lines().select(
             F.when(size == DISCONTINUED, None).otherwise(F.col("l_partkey")).alias("Product"),
             F.when(size.isin(BUNDLE_BARCODE, *if_faulty(WITHOUT_IMEX_HEADER)) & (F.col("l_linenumber") == 7), None)
             .otherwise(F.col("l_orderkey"))
             .alias("DocumentNo"),
             (F.col("l_quantity") + 1).alias("Quantity"),
-            F.when(unknown, None).otherwise(F.col("l_quantity") * 3).alias("QtyReceived"),
+            received.alias("QtyReceived"),
         )
 
     def imex_masters() -> DataFrame:

@@ -234,3 +234,61 @@ def test_merge_refuses_shared_keys(spark, sound):
     assert merge_stores([one, other]).count() == 2 * one.count()
     with pytest.raises(GateError):
         merge_stores([one, one])
+
+
+def changed_column(spark, table, column, change):
+    read = minimal_store().reader(spark)
+
+    def changed(name):
+        df = read(name)
+        return df.withColumn(column, change(F.col(column))) if name == table else df
+
+    return changed
+
+
+@pytest.mark.parametrize(
+    ("table", "column", "change"),
+    [
+        ("tbl_SALPoSDetails", "Qty", lambda c: F.array(c)),
+        ("tbl_SALPoSMaster", "TransactionDate", lambda c: F.lit(20240229)),
+        ("tbl_POLPromotion", "StartDate", lambda c: F.lit(True)),
+        ("tbl_LSProduct", "VName", lambda c: F.struct(c)),
+        ("tbl_LSProduct", "Code", lambda c: F.lit(date(2024, 1, 1))),
+    ],
+)
+def test_types_that_cannot_be_read(spark, table, column, change):
+    with pytest.raises(GateError) as error:
+        load_sources(spark, changed_column(spark, table, column, change))
+    assert [v.gate for v in error.value.violations] == ["S5t"] and column in str(error.value)
+
+
+@pytest.mark.parametrize(
+    ("column", "value", "count"),
+    [("Qty", "many", 1), ("Qty", "1", 0), ("Amount", "1e40", 1), ("PoSMaster", "1.5", 1), ("PoSMaster", "1", 0), ("Product", "99999999999", 1)],
+)
+def test_values_that_do_not_fit_are_counted(spark, column, value, count):
+    sources = load_sources(spark, changed_column(spark, "tbl_SALPoSDetails", column, lambda c: F.lit(value)))
+    found = gates.failures(gates.value_gates(sources.refused))
+    assert [(v.gate, v.count) for v in found] == ([("S5v", count)] if count else [])
+    if count:
+        with pytest.raises(GateError) as error:
+            prepare_export(spark, sources, RUN)
+        assert [v.gate for v in error.value.violations] == ["S5v"]
+
+
+def test_sound_types_are_not_read_for_it(spark):
+    assert minimal_store().sources(spark).refused is None
+
+
+def test_empty_sample(spark):
+    params = ExportParams(run_date=RUN.run_date, test_mode_max_barcodes=1)
+    run = prepare_export(spark, minimal_store().sources(spark), params).run
+    assert gates.failures(gates.population_gates(run)) == []
+    emptied = Tampered(run, targets=run.targets.where("false"))
+    assert [v.gate for v in gates.failures(gates.population_gates(emptied))] == ["G19"]
+
+
+def test_exported_product_that_never_sold(sound):
+    other = sound.targets.withColumn("product", F.lit(99))
+    tampered = Tampered(sound, targets=sound.targets.unionByName(other))
+    assert [v.gate for v in gates.failures(gates.line_gates(tampered))] == ["I-7"]
