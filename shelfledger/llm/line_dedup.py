@@ -1,8 +1,10 @@
 """Removal of passages that repeat across documents, by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last lines ends a chunk where it is divisible by ``divisor``. So the same lines give
-the same chunks wherever they stand, but for the first ``window - 1`` of them. Chunks that occur again, by hash and then
-byte by byte, are removed but for their first occurrence. DataFrame functions only.
+A rolling hash over the hashes of the last lines ends a chunk where it is divisible by ``divisor``; a line of several words is
+a chunk of its own. So the same lines give the same chunks wherever they stand, but for short ones at the edges. What is
+compared are chunks of several lines or many words, and every two adjacent chunks: units that occur again, by hash and then
+byte by byte, are removed but for their first occurrence. So a repeated passage goes as far as its whole chunks reach, also
+where each of them is a short line. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from shelfledger.llm.common import Stage, fields_of, whole_row
 
 WINDOW, DIVISOR, FACTOR = 2, 2, 31
 MIN_LINES, MIN_WORDS = 2, 50
+#: Words of a line that is a chunk by itself.
+SOLO_WORDS = 8
 KEY = ["key_id", "key_text"]
 
 
@@ -29,7 +33,10 @@ def line_hash(line: Column) -> Column:
 
 
 def chunks(rows: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
-    """The chunks of each text: number, first byte, bytes, lines, words and a hash that depends on the order of lines."""
+    """The chunks of each text: number, first byte, bytes, lines, words and a hash that depends on the order of lines.
+
+    ``pair_`` columns say the same of a chunk together with the one that follows it; null for the last.
+    """
     line = F.col("line")
     lines = rows.select(*KEY, F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).select(
         *KEY,
@@ -44,17 +51,36 @@ def chunks(rows: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> Dat
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     rolled = sum((F.lag("hash", n, 0).over(in_order) * FACTOR**n for n in range(1, window)), F.col("hash"))
     start = F.coalesce(F.sum(F.col("bytes") + 1).over(before), F.lit(0))
-    lines = lines.withColumns({"ends": (rolled % divisor == 0).cast("int"), "at": start})
+    alone = F.col("words") >= SOLO_WORDS
+    ends = (rolled % divisor == 0) | alone | F.coalesce(F.lead(alone).over(in_order), F.lit(False))
+    lines = lines.withColumns({"ends": ends.cast("int"), "at": start})
     lines = lines.withColumn("chunk", F.coalesce(F.sum("ends").over(before), F.lit(0)))
     inside = Window.partitionBy(*KEY, "chunk").orderBy("pos")
     lines = lines.withColumn("place", F.row_number().over(inside))
-    return lines.groupBy(*KEY, "chunk").agg(
+    found = lines.groupBy(*KEY, "chunk").agg(
         F.min("at").alias("at"),
         (F.sum(F.col("bytes") + 1) - 1).alias("bytes"),
         F.count(F.lit(1)).alias("lines"),
         F.sum("words").alias("words"),
         F.bit_xor(F.xxhash64("content", "place")).alias("hash"),
     )
+    chunk_order = Window.partitionBy(*KEY).orderBy("chunk")
+    after = {name: F.lead(name).over(chunk_order) for name in ("bytes", "lines", "words", "hash")}
+    return found.select(
+        "*",
+        (F.col("bytes") + 1 + after["bytes"]).alias("pair_bytes"),
+        (F.col("lines") + after["lines"]).alias("pair_lines"),
+        (F.col("words") + after["words"]).alias("pair_words"),
+        F.when(after["hash"].isNotNull(), F.xxhash64("hash", after["hash"], "bytes", "lines")).alias("pair_hash"),
+    )
+
+
+def units(all_chunks: DataFrame) -> DataFrame:
+    """What is compared: each chunk (``span`` 1) and each two adjacent ones (2)."""
+    names = ("bytes", "lines", "words", "hash")
+    one = F.struct(F.lit(1).alias("span"), *names)
+    two = F.struct(F.lit(2).alias("span"), *[F.col(f"pair_{name}").alias(name) for name in names])
+    return all_chunks.select(*KEY, "chunk", "at", F.inline(F.array(one, two))).where("hash is not null")
 
 
 def _null_safe(left: str, right: str, names: list[str]) -> list[Column]:
@@ -67,9 +93,9 @@ def _bytes(place: Column) -> Column:
 
 
 def repeated_chunks(rows: DataFrame, all_chunks: DataFrame, min_lines: int, min_words: int, stage: Stage) -> DataFrame:
-    """key_id, key_text, chunk of those that equal, byte by byte, an earlier one."""
-    counted = all_chunks.where((F.col("lines") >= min_lines) | (F.col("words") >= min_words))
-    same = ["hash", "bytes", "lines"]
+    """key_id, key_text, chunk of those that, alone or with a neighbour, equal an earlier unit byte by byte."""
+    counted = units(all_chunks).where((F.col("lines") >= min_lines) | (F.col("words") >= min_words))
+    same = ["span", "hash", "bytes", "lines"]
     place = F.struct(F.col("key_id").isNull().alias("unnamed"), "key_id", "key_text", "chunk")
     groups = counted.groupBy(*same).agg(F.min(place).alias("first"), F.max(place).alias("last"))
     groups = groups.where("first <> last").drop("last")
@@ -81,7 +107,8 @@ def repeated_chunks(rows: DataFrame, all_chunks: DataFrame, min_lines: int, min_
     found = stage(joined.select("t.key_id", "t.key_text", F.inline(found)))
     firsts = found.where("is_first").select(*same, F.col("part").alias("first_part")).dropDuplicates(same)
     copies = found.where("not is_first").join(firsts, same).where("part = first_part")
-    return copies.select(*KEY, "chunk").distinct()
+    both = F.explode(F.sequence(F.col("chunk"), F.col("chunk") + F.col("span") - 1)).alias("chunk")
+    return copies.select(*KEY, both).distinct()
 
 
 def dedup_lines(
@@ -95,8 +122,9 @@ def dedup_lines(
 ) -> DataFrame:
     """The documents with repeated chunks removed, and ``n_lines`` and ``n_removed_lines`` (replaced if present).
 
-    A chunk counts if it has at least ``min_lines`` lines, or at least ``min_words`` words (spaces + 1). Its first occurrence
-    in order of id (null last), hash of the text and place stays; the rest go, also within a text. A text of which nothing
+    A chunk, or two adjacent ones, count if they have at least ``min_lines`` lines, or at least ``min_words`` words (spaces +
+    1). Their first occurrence in order of id (null last), hash of the text and place stays; the rest go, also within a text.
+    A text of which nothing
     is left is empty. A null text stays null, with 0 lines; an empty one has one line. Rows with equal id and text are one
     document: each is returned, none counts as a copy of the other. Other columns are kept.
 
@@ -136,20 +164,31 @@ WITH lines AS (
   FROM documents WHERE text IS NOT NULL
 ), hashed AS (
   SELECT doc_id, pos, line, ('0x' || substr(md5(line), 1, 7))::BIGINT AS hash FROM lines
+), worded AS (
+  SELECT *, length(line) - length(replace(line, ' ', '')) + 1 AS words FROM hashed
 ), ended AS (
-  SELECT *, (hash + {FACTOR} * lag(hash, 1, 0) OVER (PARTITION BY doc_id ORDER BY pos)) % {DIVISOR} = 0 AS ends FROM hashed
+  SELECT *, (hash + {FACTOR} * lag(hash, 1, 0) OVER (PARTITION BY doc_id ORDER BY pos)) % {DIVISOR} = 0
+    OR words >= {SOLO_WORDS} OR coalesce(lead(words) OVER (PARTITION BY doc_id ORDER BY pos) >= {SOLO_WORDS}, false) AS ends
+  FROM worded
 ), placed AS (
-  SELECT doc_id, pos, line, coalesce(sum(ends::INT) OVER (
+  SELECT doc_id, pos, line, words, coalesce(sum(ends::INT) OVER (
     PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
   FROM ended
 ), chunks AS (
-  SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY pos) AS part, count(*) AS lines,
-         sum(length(line) - length(replace(line, ' ', '')) + 1) AS words
+  SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY pos) AS part, count(*) AS lines, sum(words) AS words
   FROM placed GROUP BY doc_id, chunk
-), ranked AS (
+), paired AS (
+  SELECT *, lead(part) OVER w AS part2, lead(lines) OVER w AS lines2, lead(words) OVER w AS words2
+  FROM chunks WINDOW w AS (PARTITION BY doc_id ORDER BY chunk)
+), single AS (
   SELECT *, row_number() OVER (PARTITION BY part, lines ORDER BY doc_id, chunk) > 1
-         AND (lines >= {MIN_LINES} OR words >= {MIN_WORDS}) AS gone
-  FROM chunks
+         AND (lines >= {MIN_LINES} OR words >= {MIN_WORDS}) AS again,
+         row_number() OVER (PARTITION BY part, lines, part2, lines2 ORDER BY doc_id, chunk) > 1 AND part2 IS NOT NULL
+         AND (lines + lines2 >= {MIN_LINES} OR words + words2 >= {MIN_WORDS}) AS pair_again
+  FROM paired
+), ranked AS (
+  SELECT *, again OR pair_again OR coalesce(lag(pair_again) OVER (PARTITION BY doc_id ORDER BY chunk), false) AS gone
+  FROM single
 ), rebuilt AS (
   SELECT doc_id, coalesce(string_agg(part, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS text,
          sum(lines)::BIGINT AS n_lines, coalesce(sum(lines) FILTER (gone), 0)::BIGINT AS n_removed_lines

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfledger.llm import quality
@@ -61,6 +62,17 @@ def test_packing(results):
     check(results[5].collect(), ids, 1024)
 
 
+def test_no_part_of_a_planted_copy_reaches_mixing(spark, tmp_path):
+    given = table(spark, FOLDER, "documents")
+    several = given.where("size(split(text, '\\n')) > 2")
+    copies = several.select((F.col("doc_id") + 1_000_000).alias("doc_id"), *[c for c in given.columns if c != "doc_id"])
+    assert copies.count() > 20
+    docs = given.unionByName(copies)
+    for _, function in corpus_pipeline.STAGES[1:3]:
+        docs = Stage(spark)(function(spark, docs, FOLDER))
+    assert docs.where("doc_id >= 1000000").isEmpty() and not docs.isEmpty()
+
+
 def test_odd_rows_and_empty_tables(spark, tmp_path):
     documents = [(1, "a b c d e f", "en", "s", 11), (1, "a b c d e f", "en", "s", 11), (None, None, None, None, None), (2, "", "en", "s", 0)]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
