@@ -26,7 +26,10 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--include-in-progress", action="store_true")
     parser.add_argument("--sample-barcodes", type=int)
     parser.add_argument("--reconcile-scans", action="store_true")
-    return parser.parse_args()
+    args = parser.parse_args()
+    if args.site_column and len(args.parquet or args.database) > 1:
+        parser.error("--site-column tells the stores of one place apart; give one place")
+    return args
 
 
 def main() -> None:

@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfledger.operators import calendar, catalog, inactivity, ledgers, placement, population, promo, receipts, sales, stock
 from shelfledger.params import ExportParams
 from shelfledger.plans import gates
+from shelfledger.plans.published import is_published, publish
 from shelfledger.schemas import DAILY_COLUMNS, METADATA_COLUMNS
 from shelfledger.sources.bundle import Sources
-from shelfledger.sources.staging import Staging, WithoutStaging, exists, move, remove
+from shelfledger.sources.staging import Staging, WithoutStaging, remove
 from shelfledger.violations import GateError, Violation
 
 LOG = logging.getLogger("shelfledger")
@@ -422,25 +423,26 @@ def run_export(spark: SparkSession, sources: Sources, params: ExportParams) -> E
 
 
 def write_export(spark: SparkSession, sources: Sources, params: ExportParams, path: str) -> list[tuple[str, int]]:
-    """Publish ``<path>/daily`` and ``<path>/metadata``, or nothing.
+    """Publish the daily result and its metadata at a place, or nothing; ``read_export`` reads them.
 
-    Both are written to a folder of the run beside them, which readers pass over by its name. Every invariant is checked
-    per store on the rows that were written; only then are both moved to their places, metadata last. A run that fails
-    leaves neither its folder nor its staged tables.
+    Both are written to a folder of the run, which readers of the place pass over by its name. Every invariant is checked
+    per store on the rows that were written; only then does one small file name the folder. A run that fails leaves neither
+    its folder nor its staged tables.
     """
     path = path.rstrip("/")
-    for name in ("daily", "metadata"):
-        if exists(spark, f"{path}/{name}"):
-            raise FileExistsError(f"{path}/{name}")
+    if is_published(spark, path):
+        raise FileExistsError(f"{path} has an export")
     result = prepare_export(spark, sources, params)
-    unpublished = f"{path}/_unpublished-{uuid.uuid4().hex}"
+    folder = f"_run-{uuid.uuid4().hex}"
+    done = False
     try:
-        result.daily.write.parquet(f"{unpublished}/daily")
-        gates.stop_on(gates.written_gates(result.run, spark.read.parquet(f"{unpublished}/daily")))
-        result.metadata.write.parquet(f"{unpublished}/metadata")
-        for name in ("daily", "metadata"):
-            move(spark, f"{unpublished}/{name}", f"{path}/{name}")
+        result.daily.write.parquet(f"{path}/{folder}/daily")
+        gates.stop_on(gates.written_gates(result.run, spark.read.parquet(f"{path}/{folder}/daily")))
+        result.metadata.write.parquet(f"{path}/{folder}/metadata")
+        publish(spark, path, folder, [row.location_code for row in result.run.identity.select("location_code").collect()])
+        done = True
     finally:
-        remove(spark, unpublished)
+        if not done:
+            remove(spark, f"{path}/{folder}")
         result.cleanup()
     return result.warnings

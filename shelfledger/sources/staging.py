@@ -74,11 +74,20 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Give a written folder its final name, in the same store."""
-    location, files = _located(spark, source)
-    if not files.rename(location, _located(spark, target)[0]):
-        raise OSError(f"cannot move {source} to {target}")
+def write_new_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in one piece; fails if the path is taken. Object stores show it once it is closed."""
+    location, files = _located(spark, path)
+    stream = files.create(location, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
+    return "".join(row[0] for row in spark.read.text(path, wholetext=True).collect())
 
 
 class WithoutStaging:

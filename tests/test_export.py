@@ -7,7 +7,7 @@ from decimal import Decimal
 
 import pytest
 
-from shelfledger import ExportParams, run_export, write_export
+from shelfledger import ExportParams, read_export, run_export, write_export
 from shelfledger.plans.daily_export import prepare_export
 from shelfledger.schemas import DAILY_COLUMNS, METADATA_COLUMNS
 from tests.store import LAST, Store
@@ -306,10 +306,10 @@ def test_collation(spark):
 def test_written_export_is_published_with_metadata_last(spark, full, tmp_path):
     warnings = write_export(spark, build().sources(spark), FULL, str(tmp_path))
     assert dict(warnings) == dict(full.warnings)
-    written = spark.read.parquet(f"{tmp_path}/daily")
-    assert written.count() == full.daily.count()
-    assert written.exceptAll(full.daily).isEmpty()
-    assert spark.read.parquet(f"{tmp_path}/metadata").first() == full.metadata.first()
+    written = read_export(spark, str(tmp_path))
+    assert written.daily.count() == full.daily.count()
+    assert written.daily.exceptAll(full.daily).isEmpty()
+    assert written.metadata.first() == full.metadata.first() and written.locations == ("Main street",)
 
 
 def test_scan_reconciliation_and_header_keys_pass(spark):

@@ -8,10 +8,21 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from shelfledger import ExportParams, GateError, combine_sites, load_sources, parquet_tables, run_export, write_export
+from shelfledger import (
+    ExportParams,
+    GateError,
+    combine_sites,
+    load_sources,
+    merge_published,
+    parquet_tables,
+    read_export,
+    run_export,
+    write_export,
+)
 from shelfledger.operators import population
 from shelfledger.plans import daily_export, gates
 from shelfledger.plans.daily_export import DailyExport, prepare_export
+from shelfledger.schemas import DAILY_COLUMNS
 from shelfledger.sources.staging import staging_root
 from tests.store import LAST, minimal_store
 
@@ -56,7 +67,7 @@ def test_failed_write_leaves_nothing_and_can_be_repeated(spark, tmp_path, monkey
     assert os.listdir(tmp_path) == [] and staged(spark) == before
     monkeypatch.undo()
     write_export(spark, minimal_store().sources(spark), RUN, str(tmp_path))
-    assert sorted(os.listdir(tmp_path)) == ["daily", "metadata"] and staged(spark) == before
+    assert staged(spark) == before and read_export(spark, str(tmp_path)).daily.count() == 1827
 
 
 def test_failed_gates_leave_no_staged_table(spark):
@@ -68,9 +79,53 @@ def test_failed_gates_leave_no_staged_table(spark):
 
 
 def test_nothing_is_overwritten(spark, tmp_path):
-    os.mkdir(tmp_path / "daily")
+    write_export(spark, minimal_store().sources(spark), RUN, str(tmp_path))
+    before = sorted(os.listdir(tmp_path))
     with pytest.raises(FileExistsError):
         write_export(spark, minimal_store().sources(spark), RUN, str(tmp_path))
+    assert sorted(os.listdir(tmp_path)) == before
+
+
+@pytest.mark.parametrize("step", ["metadata", "publish"])
+def test_a_failure_after_the_rows_are_written_leaves_nothing_readable(spark, tmp_path, monkeypatch, step):
+    def fail(*_):
+        raise OSError("the store is gone")
+
+    before = staged(spark)
+    if step == "publish":
+        monkeypatch.setattr(daily_export, "publish", fail)
+    else:
+        monkeypatch.setattr(gates, "written_gates", lambda *_: fail())
+    with pytest.raises(OSError):
+        write_export(spark, minimal_store().sources(spark), RUN, str(tmp_path))
+    assert os.listdir(tmp_path) == [] and staged(spark) == before
+    with pytest.raises(FileNotFoundError):
+        read_export(spark, str(tmp_path))
+
+
+def test_a_run_that_comes_second_leaves_the_first_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(daily_export, "is_published", lambda *_: False)
+    write_export(spark, minimal_store().sources(spark), RUN, str(tmp_path))
+    first = read_export(spark, str(tmp_path))
+    with pytest.raises(Exception):  # the file is there
+        write_export(spark, minimal_store(code=8, name="Harbour").sources(spark), RUN, str(tmp_path))
+    again = read_export(spark, str(tmp_path))
+    assert again.locations == first.locations == ("Main street",) and again.daily.count() == 1827
+
+
+def test_published_stores_merge_by_their_manifests(spark, tmp_path):
+    for name, store in (("a", minimal_store()), ("b", minimal_store(code=8, name="Harbour")), ("c", minimal_store())):
+        write_export(spark, store.sources(spark), RUN, f"{tmp_path}/{name}")
+    merged = merge_published(spark, [f"{tmp_path}/a", f"{tmp_path}/b"])
+    assert merged.columns == list(DAILY_COLUMNS) and merged.groupBy("LocationName").count().count() == 2
+    assert merged.count() == 2 * 1827
+    with pytest.raises(GateError) as error:
+        merge_published(spark, [f"{tmp_path}/a", f"{tmp_path}/b", f"{tmp_path}/c"])
+    assert codes(error) == ["I-5"]
+    with open(f"{tmp_path}/b/published.json", "w") as file:
+        file.write('{"daily": ')  # as another reader may see it while it is written
+    with pytest.raises(FileNotFoundError):
+        read_export(spark, f"{tmp_path}/b")
 
 
 def test_empty_configuration(spark):
