@@ -16,9 +16,13 @@ ROW_GROUP_BYTES = 4 << 20
 
 
 def staging_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse, which the executors share too."""
+    """``spark.checkpoint.dir``. Where it is unset, a folder in the warehouse, if driver and tasks are one process."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
 
 
 class Staging:
