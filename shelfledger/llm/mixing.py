@@ -37,7 +37,7 @@ TOPIC_MOVE, SUM_UNITS = 1e-4, 1 << 30
 ROUND_UNITS = 1 << 20
 STEPS_PER_OCTAVE = 64
 #: Pairs of values of the two smaller margins that the driver may hold.
-HELD_PAIRS = 1 << 20
+HELD_PAIRS, HELD_ROUNDS = 1 << 20, 100
 OUTPUTS = ("m_source", "m_lang", "m_topic", "m_tokens", "m_probability", "m_weight", "m_sampled")
 
 
@@ -241,9 +241,12 @@ def rake(
             met = True
             break
         held_sums, before = sums.reshape(shape), np.outer(*factors).ravel()
-        for n in range(2):
-            at = margin_sums(held_sums, factors, n)
-            factors[n] = factors[n] * np.divide(wanted[n], at, out=np.zeros(shape[n]), where=at > 0)
+        for _ in range(HELD_ROUNDS):  # these two are fitted to each other without a job
+            for n in range(2):
+                at = margin_sums(held_sums, factors, n)
+                factors[n] = factors[n] * np.divide(wanted[n], at, out=np.zeros(shape[n]), where=at > 0)
+            if _off(margin_sums(held_sums, factors), wanted) <= tolerance / 10:
+                break
     if not met:
         LOG.warning("target shares are not met within %s after %s rounds", tolerance, max_rounds)
     return weighted(rows, np.outer(*factors).ravel(), before, values, long, held)
