@@ -35,7 +35,8 @@ def arguments() -> argparse.Namespace:
 def main() -> None:
     args = arguments()
     logging.basicConfig(level=logging.INFO)
-    spark = SparkSession.builder.appName("shelfledger").getOrCreate()
+    ordering = "spark.sql.legacy.bucketedTableScan.outputOrdering"  # stored events are not sorted again
+    spark = SparkSession.builder.appName("shelfledger").config(ordering, "true").getOrCreate()
     params = ExportParams(
         run_date=args.run_date,
         sales_data_cutoff_date=args.cutoff,
