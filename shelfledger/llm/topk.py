@@ -24,6 +24,8 @@ from shelfledger.llm.grouping import grouped
 K, EVERY = 5, 50
 BLOCK_ROWS, QUERY_SLICE = 4096, 2048
 LEAF, FANOUT = 256, 16
+#: No score is larger than the square of the longest vector's length.
+LARGEST_SCORE = 2.0**63
 #: Searches are dealt to at most so many tasks; more trees and slices share them.
 MAX_TASKS = 10_000
 
@@ -122,11 +124,12 @@ def usable(vector: Column) -> Column:
 
 
 def quantized(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """vec_id, numbers = floor(256 * x) in double precision, dim; without rows that take no part."""
+    """vec_id, numbers = floor(256 * x) in double precision, dim, square of the length; without rows that take no part."""
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     numbers = F.transform("vector", lambda x: F.floor(x * 256.0).cast("long"))
-    return rows.select("vec_id", numbers.alias("numbers"), F.size("vector").alias("dim"))
+    square = F.aggregate("vector", F.lit(0.0), lambda total, x: total + F.pow(F.abs(x) * 256.0 + 1, 2))
+    return rows.select("vec_id", numbers.alias("numbers"), F.size("vector").alias("dim"), square.alias("square"))
 
 
 PAGE = "dim int, block int, page int, leaf boolean, numbers array<bigint>, points binary, radii binary, above binary"
@@ -190,7 +193,8 @@ def top_k(
     The score is the inner product of the vectors' numbers ``floor(256 * x)``; ties go to the smaller id; fewer rows where
     there are fewer others. Vectors that are null, empty or hold a null or non-finite component, and those with a null id,
     take no part. Only vectors of one length are compared. Rows with the query's id are its own; repeated ids are one query,
-    by the smallest of their vectors, but as many candidates as rows. Scores must fit into a long. Other columns are ignored.
+    by the smallest of their vectors, but as many candidates as rows. Vectors so long that a score may not fit into a long are
+    refused (ValueError). Other columns are ignored.
     """
     stage = Stage(vectors.sparkSession)
     # The row numbers are fixed by writing them.
@@ -198,8 +202,10 @@ def top_k(
     asked = rows.where(F.col("vec_id") % every == 0).groupBy("dim", "vec_id").agg(F.min("numbers").alias("numbers"))
     asked = stage(asked.withColumnRenamed("vec_id", "query_id"))
     # One row for each length of vector.
-    sizes = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
+    sizes = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.max("square").alias("square"))
     sizes = sizes.join(asked.groupBy("dim").agg(F.count(F.lit(1)).alias("asked")), "dim").collect()
+    if any(row.square >= LARGEST_SCORE for row in sizes):
+        raise ValueError("the inner products of these vectors may not fit into a long")
     blocks = {row.dim: -(-row.n // BLOCK_ROWS) for row in sizes}
     slices = {row.dim: -(-row.asked // QUERY_SLICE) for row in sizes}
 

@@ -89,3 +89,12 @@ def test_rows_of_one_id_are_dealt_to_all_trees(spark):
     pages = topk.build_trees(rows.withColumn("dim", F.size("numbers")), F.lit(10), 10).where("leaf")
     held = [r.n for r in pages.groupBy("block").agg(F.sum(F.size("numbers")).alias("n")).collect()]
     assert len(held) == 10 and sum(held) == 2000 and max(held) < 300
+
+
+@pytest.mark.parametrize("long", [[1e17, 0.0], [1e300, 1.0], [1.2e7, 1.2e7, -1.2e7]])
+def test_vectors_beyond_a_long_are_refused(spark, long):
+    df = spark.createDataFrame([(0, long), (1, [1.0] * len(long))], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="long"):
+        topk.top_k(df)
+    fits = spark.createDataFrame([(0, [1e6, 0.5]), (1, [1e6, 1.0])], "vec_id long, embedding array<double>")
+    assert topk.top_k(fits).collect()[0].score == 256 * 10**6 * 256 * 10**6 + 128 * 256
