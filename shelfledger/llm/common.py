@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfledger.sources.staging import Staging
+from shelfledger.sources.staging import Staging, remove
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +20,19 @@ class Stage:
     def __init__(self, spark: SparkSession):
         self.staging = Staging(spark)
         self.count = 0
+        self.written: dict[int, tuple[DataFrame, str]] = {}
 
     def __call__(self, df: DataFrame) -> DataFrame:
         self.count += 1
-        return self.staging.write(f"{self.count:03d}", df)
+        name = f"{self.count:03d}"
+        found = self.staging.write(name, df)
+        self.written[id(found)] = found, name
+        return found
+
+    def forget(self, df: DataFrame) -> None:
+        """Remove a table that this stage wrote, once all that is read from it is written too."""
+        _, name = self.written.pop(id(df))
+        remove(self.staging.spark, self.folder(name))
 
     def folder(self, name: str) -> str:
         return f"{self.staging.path}/{name}"

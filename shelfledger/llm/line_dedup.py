@@ -93,7 +93,7 @@ def _bytes(place: Column) -> Column:
 
 
 def repeated_chunks(rows: DataFrame, all_chunks: DataFrame, min_lines: int, min_words: int, stage: Stage) -> DataFrame:
-    """key_id, key_text, chunk of those that, alone or with a neighbour, equal an earlier unit byte by byte."""
+    """key_id, key_text, chunk and ``gone`` of those that, alone or with a neighbour, equal an earlier unit byte by byte."""
     counted = units(all_chunks).where((F.col("lines") >= min_lines) | (F.col("words") >= min_words))
     same = ["span", "hash", "bytes", "lines"]
     place = F.struct(F.col("key_id").isNull().alias("unnamed"), "key_id", "key_text", "chunk")
@@ -108,7 +108,9 @@ def repeated_chunks(rows: DataFrame, all_chunks: DataFrame, min_lines: int, min_
     firsts = found.where("is_first").select(*same, F.col("part").alias("first_part")).dropDuplicates(same)
     copies = found.where("not is_first").join(firsts, same).where("part = first_part")
     both = F.explode(F.sequence(F.col("chunk"), F.col("chunk") + F.col("span") - 1)).alias("chunk")
-    return copies.select(*KEY, both).distinct()
+    gone = stage(copies.select(*KEY, both).distinct().withColumn("gone", F.lit(True)))
+    stage.forget(found)  # it holds the bytes of all that repeats
+    return gone
 
 
 def dedup_lines(
@@ -135,7 +137,7 @@ def dedup_lines(
     stage = Stage(documents.sparkSession)
     rows = keyed(documents, id_column, text_column)
     all_chunks = stage(chunks(rows, window, divisor))
-    gone = stage(repeated_chunks(rows, all_chunks, min_lines, min_words, stage).withColumn("gone", F.lit(True)))
+    gone = repeated_chunks(rows, all_chunks, min_lines, min_words, stage)
     marked = all_chunks.alias("c").join(gone.alias("g"), _null_safe("c", "g", [*KEY, "chunk"]), "left").select("c.*", "gone")
     kept = F.when(F.col("gone").isNull(), F.struct("at", "bytes"))
     by_document = marked.groupBy(*KEY).agg(

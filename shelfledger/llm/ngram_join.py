@@ -287,7 +287,9 @@ def _index(rows: DataFrame, size: int, threshold: Threshold, stage: Stage) -> Da
     index = stage(rows.mapInArrow(scan, "key bigint, sig bigint, n int"))
     shared_keys = index.groupBy("key").agg(F.min("sig").alias("least"), F.max("sig").alias("most"))
     shared_keys = shared_keys.where("least <> most").select("key")
-    return stage(index.join(shared_keys, "key", "left_semi").distinct())
+    members = stage(index.join(shared_keys, "key", "left_semi").distinct())
+    stage.forget(index)
+    return members
 
 
 def _filter_of(ids: DataFrame) -> np.ndarray:
