@@ -241,6 +241,7 @@ def expand_runs(runs: DataFrame) -> DataFrame:
         stock_status(F.col("tainted"), open_stock, F.col("close_if_clean")).alias("stock_status"),
         on_event("receipt_ts").alias("first_receipt_ts"),
         on_event("price").alias("price"),
+        event.alias("starts_run"),
         "attributes",
     )
 

@@ -47,6 +47,10 @@ def test_days_of_a_product_are_gathered_in_place(run, query):
     assert sum("Aggregate" in line for line in above_dense_rows(getattr(contract, query)(run))) >= 2
 
 
+def test_days_without_movement_leave_before_the_join(run):
+    assert any("Filter" in line and "offset" in line for line in above_dense_rows(contract.stock_event_days(run)))
+
+
 def plain_digest(rows, product, day):
     cells = [F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in sorted(rows.columns)]
     row = F.struct(F.col(day).alias("day"), F.md5(F.concat_ws("|", *cells).cast("binary")).alias("row"))
@@ -79,7 +83,7 @@ def plain(run, query):
 
 @pytest.mark.parametrize(
     "query",
-    ["daily_source_digest", "stock_digest"],
+    ["daily_source_digest", "stock_digest", "stock_event_days"],
 )
 def test_a_product_under_several_labels_counts_once(run, query):
     found = getattr(contract, query)(run)
