@@ -42,7 +42,7 @@ def above_dense_rows(df) -> list[str]:
     return lines[:stop]
 
 
-@pytest.mark.parametrize("query", ["daily_source_digest", "stock_digest"])
+@pytest.mark.parametrize("query", ["daily_source_digest", "stock_digest", "daily_source_by_product"])
 def test_days_of_a_product_are_gathered_in_place(run, query):
     assert sum("Aggregate" in line for line in above_dense_rows(getattr(contract, query)(run))) >= 2
 
@@ -83,7 +83,7 @@ def plain(run, query):
 
 @pytest.mark.parametrize(
     "query",
-    ["daily_source_digest", "stock_digest", "stock_event_days"],
+    ["daily_source_digest", "stock_digest", "stock_event_days", "daily_source_by_product"],
 )
 def test_a_product_under_several_labels_counts_once(run, query):
     found = getattr(contract, query)(run)
