@@ -51,6 +51,10 @@ def test_days_without_movement_leave_before_the_join(run):
     assert any("Filter" in line and "offset" in line for line in above_dense_rows(contract.stock_event_days(run)))
 
 
+def test_days_are_compared_in_place(run):
+    assert any("Window" in line for line in above_dense_rows(contract.stock_continuity(run)))
+
+
 def plain_digest(rows, product, day):
     cells = [F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in sorted(rows.columns)]
     row = F.struct(F.col(day).alias("day"), F.md5(F.concat_ws("|", *cells).cast("binary")).alias("row"))
@@ -83,7 +87,7 @@ def plain(run, query):
 
 @pytest.mark.parametrize(
     "query",
-    ["daily_source_digest", "stock_digest", "stock_event_days", "daily_source_by_date", "daily_source_by_product"],
+    ["daily_source_digest", "stock_digest", "stock_event_days", "stock_continuity", "daily_source_by_date", "daily_source_by_product"],
 )
 def test_a_product_under_several_labels_counts_once(run, query):
     found = getattr(contract, query)(run)
