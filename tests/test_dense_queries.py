@@ -87,7 +87,7 @@ def plain(run, query):
 
 @pytest.mark.parametrize(
     "query",
-    ["daily_source_digest", "stock_digest", "stock_event_days", "stock_continuity", "daily_source_by_date", "daily_source_by_product"],
+    ["daily_source_digest", "stock_digest", "stock_event_days", "stock_by_product", "stock_continuity", "daily_source_by_date", "daily_source_by_product"],
 )
 def test_a_product_under_several_labels_counts_once(run, query):
     found = getattr(contract, query)(run)
