@@ -8,6 +8,9 @@ from pyspark.sql import Column, functions as F
 
 DEC = "decimal(38,6)"
 
+#: Keys of joins and sorts by product. A sort compares its first column by a prefix, so the one with more values stands first.
+PRODUCT_KEYS = ["product", "site"]
+
 # Warehouse document types and statuses.
 INBOUND_TYPES = (1, 2, 3, 4, 21, 31, 41, 50)
 OUTBOUND_TYPES = (5, 6, 7, 8, 9, 10, 20, 30, 40, 52)

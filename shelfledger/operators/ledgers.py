@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfledger.functions.expressions import (
+    PRODUCT_KEYS,
     business_date,
     imex_in_scope,
     imex_net_qty,
@@ -126,7 +127,7 @@ def pos_lines(
     scope = targets.select("site", "product", "window_start", "window_end")
     return (
         with_pos_header(details.where("product is not null"), masters, "inner")
-        .join(scope, ["site", "product"])
+        .join(scope, PRODUCT_KEYS)
         .where(in_window(F.col("transaction_ts"), F.col("window_start"), F.col("window_end")))
         .select(
             "site",

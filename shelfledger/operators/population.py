@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from shelfledger.functions.expressions import has_bundle_prefix, missing_barcode
+from shelfledger.functions.expressions import PRODUCT_KEYS, has_bundle_prefix, missing_barcode
 from shelfledger.operators.catalog import brand_names, group_columns, group_path
 from shelfledger.params import ExportParams
 
@@ -19,7 +19,7 @@ def pos_product_audit(ledger: DataFrame, product: DataFrame, collation: str = "U
     return (
         ledger.select("site", "product")
         .distinct()
-        .join(catalog, ["site", "product"], "left")
+        .join(catalog, PRODUCT_KEYS, "left")
         .select(
             "site",
             "product",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfledger.functions.expressions import receipt_status
+from shelfledger.functions.expressions import PRODUCT_KEYS, receipt_status
 
 
 def clean_receipt_ts() -> Column:
@@ -19,7 +19,7 @@ def first_receipt(imex_daily: DataFrame, targets: DataFrame) -> DataFrame:
     first = clean_receipt_ts()
     return (
         imex_daily.where("has_receipt")
-        .join(scope, ["site", "product"])
+        .join(scope, PRODUCT_KEYS)
         .where("business_date between window_start and window_end")
         .select(
             "site",

@@ -11,7 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from shelfledger.functions.expressions import DEC, sales_or_null, stock_status
+from shelfledger.functions.expressions import DEC, PRODUCT_KEYS, sales_or_null, stock_status
 from shelfledger.operators.catalog import group_columns
 from shelfledger.operators.promo import promo_rows
 from shelfledger.operators.receipts import clean_receipt_ts
@@ -32,18 +32,21 @@ STORE = ("location_code", "location_name")
 PRODUCT = ["site", "product"]
 
 
-def stock_seed(targets: DataFrame, pos_daily: DataFrame, imex_daily: DataFrame) -> DataFrame:
-    """Stock at the start of the window. No movement before it is a known zero; any unknown quantity makes it unknown."""
+def stock_seed(targets: DataFrame, ledger: DataFrame, imex_daily: DataFrame) -> DataFrame:
+    """Stock at the start of the window. No movement before it is a known zero; any unknown quantity makes it unknown.
+
+    Both ledgers meet the targets in one join, which deals them by product as the sums need.
+    """
     scope = targets.select(*PRODUCT, "window_start")
     before = (
-        pos_daily.select(
+        ledger.select(
             *PRODUCT,
             "business_date",
-            (F.col("return_qty") - F.col("sale_qty")).cast(DEC).alias("net_qty"),
+            F.when(F.col("is_return"), F.col("qty")).otherwise(-F.col("qty")).cast(DEC).alias("net_qty"),
             F.col("has_null_qty").alias("unknown"),
         )
         .unionByName(imex_daily.select(*PRODUCT, "business_date", "net_qty", F.col("has_unknown_qty").alias("unknown")))
-        .join(scope, PRODUCT)
+        .join(scope, PRODUCT_KEYS)
         .where("business_date < window_start")
         .groupBy(*PRODUCT)
         .agg(F.sum("net_qty").alias("net_qty"), F.bool_or("unknown").alias("unknown"))
@@ -51,7 +54,7 @@ def stock_seed(targets: DataFrame, pos_daily: DataFrame, imex_daily: DataFrame)
     known = ~F.coalesce("unknown", F.lit(False))
     return (
         targets.select(*PRODUCT)
-        .join(before, PRODUCT, "left")
+        .join(before, PRODUCT_KEYS, "left")
         .select(
             *PRODUCT,
             F.when(known, F.coalesce("net_qty", F.lit(0).cast(DEC))).alias("seed_net_movement"),
@@ -61,40 +64,52 @@ def stock_seed(targets: DataFrame, pos_daily: DataFrame, imex_daily: DataFrame)
 
 
 def daily_movement(
-    targets: DataFrame, pos_daily: DataFrame, imex_daily: DataFrame, first: date | None = None, last: date | None = None
+    targets: DataFrame, ledger: DataFrame, imex_daily: DataFrame, first: date | None = None, last: date | None = None
 ) -> DataFrame:
-    """Net stock movement per product and day of the window. One unknown warehouse quantity makes the day unknown."""
-    zero = F.lit(0).cast(DEC)
-    rows = (
-        in_scope(imex_daily, targets, first, last)
-        .select(
+    """Net stock movement per product and day of the window. One unknown warehouse quantity makes the day unknown.
+
+    Both ledgers meet the targets in one join, which deals them by product as the sums need.
+    """
+    kinds = {"imex_net": 1, "pos_out": 2, "pos_back": 4}
+    returned = F.col("is_return")
+    rows = imex_daily.select(
+        *PRODUCT,
+        "business_date",
+        F.lit(kinds["imex_net"]).alias("kind"),
+        F.col("net_qty").alias("imex_net"),
+        F.col("has_unknown_qty").alias("unknown"),
+    ).unionByName(
+        ledger.select(
             *PRODUCT,
             "business_date",
-            F.lit(True).alias("stocked"),
-            F.col("net_qty").alias("imex_net"),
-            zero.alias("pos_out"),
-            zero.alias("pos_back"),
-            F.col("has_unknown_qty").alias("unknown"),
-        )
-        .unionByName(
-            in_scope(pos_daily, targets, first, last).select(
-                *PRODUCT,
-                "business_date",
-                F.lit(False).alias("stocked"),
-                zero.alias("imex_net"),
-                F.col("sale_qty").alias("pos_out"),
-                F.col("return_qty").alias("pos_back"),
-                F.lit(False).alias("unknown"),
-            )
-        )
+            F.when(returned, F.lit(kinds["pos_back"])).otherwise(F.lit(kinds["pos_out"])).alias("kind"),
+            F.when(~returned, F.col("qty")).alias("pos_out"),
+            F.when(returned, F.col("qty")).alias("pos_back"),
+            F.lit(False).alias("unknown"),
+        ),
+        allowMissingColumns=True,
     )
-    sums = rows.groupBy(*PRODUCT, "business_date").agg(
-        F.bool_or("stocked").alias("has_inventory_movement"),
+
+    def summed(name: str) -> Column:
+        """Zero beside rows of another kind; NULL where a day has rows of this kind alone, all without a quantity."""
+        return F.coalesce(name, F.when(F.col("kinds") != kinds[name], F.lit(0).cast(DEC))).alias(name)
+
+    sums = in_scope(rows, targets, first, last).groupBy(*PRODUCT, "business_date").agg(
+        F.bit_or("kind").alias("kinds"),
         F.sum("imex_net").alias("imex_net"),
-        F.sum("pos_out").alias("pos_out_qty"),
-        F.sum("pos_back").alias("return_qty"),
+        F.sum("pos_out").alias("pos_out"),
+        F.sum("pos_back").alias("pos_back"),
         F.bool_or("unknown").alias("has_unknown_movement"),
     )
+    sums = sums.select(
+        *PRODUCT,
+        "business_date",
+        (F.col("kinds").bitwiseAND(kinds["imex_net"]) != 0).alias("has_inventory_movement"),
+        summed("imex_net"),
+        summed("pos_out").alias("pos_out_qty"),
+        summed("pos_back").alias("return_qty"),
+        "has_unknown_movement",
+    )
     known = ~F.col("has_unknown_movement")
     net = F.col("imex_net") - F.col("pos_out_qty") + F.col("return_qty")
     return sums.select(

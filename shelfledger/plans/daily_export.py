@@ -175,11 +175,11 @@ class DailyExport:
 
     @cached_property
     def seed(self) -> DataFrame:
-        return stock.stock_seed(self.targets, self.pos_daily, self.imex_daily)
+        return stock.stock_seed(self.targets, self.pos_ledger, self.imex_daily)
 
     @cached_property
     def movement(self) -> DataFrame:
-        return stock.daily_movement(self.targets, self.pos_daily, self.imex_daily, *self.bounds)
+        return stock.daily_movement(self.targets, self.pos_ledger, self.imex_daily, *self.bounds)
 
     @cached_property
     def first_receipt(self) -> DataFrame:
