@@ -124,12 +124,13 @@ def daily_movement(
     )
 
 
-def daily_facts(ledger: DataFrame, imex_daily: DataFrame, eligible: DataFrame, targets: DataFrame) -> DataFrame:
+def daily_facts(ledger: DataFrame, imex_daily: DataFrame, eligible: DataFrame, targets: DataFrame, tasks: int) -> DataFrame:
     """Everything known about a product-day, one row per exported product and event day, with the product's ``label``.
 
     Everything before the window falls on one opening day, the day before it, which makes the opening stock part of the
-    same running sum. Each product has a row on the window's first day. Products that are not exported leave in the join
-    that brings label and window, ahead of the grouping; where it shuffles, it shuffles by product, as the grouping needs.
+    same running sum. Each product has a row on the window's first day. Rows are dealt by product to so many ``tasks``: as their
+    number follows that of the products, what a task sums does not grow with the input. Products that are not exported leave in
+    the join that brings label and window, ahead of the grouping, which needs no other dealing.
     """
     events = (
         ledger.select(
@@ -160,7 +161,7 @@ def daily_facts(ledger: DataFrame, imex_daily: DataFrame, eligible: DataFrame, t
         .unionByName(targets.select(*PRODUCT, F.col("window_start").alias("business_date")), allowMissingColumns=True)
     )
     scope = targets.select(*PRODUCT, "label", "window_start", "window_end")
-    rows = events.join(scope, PRODUCT).where("business_date <= window_end")
+    rows = events.repartition(tasks, *PRODUCT_KEYS).join(scope, PRODUCT_KEYS).where("business_date <= window_end")
     day = F.greatest("business_date", F.date_sub("window_start", 1)).alias("day")
     return rows.groupBy("label", *PRODUCT, day).agg(
         F.sum("net_qty").alias("net_qty"),

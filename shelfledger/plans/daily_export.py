@@ -24,6 +24,8 @@ from shelfledger.sources.staging import Staging, WithoutStaging, remove
 from shelfledger.violations import GateError, Violation
 
 LOG = logging.getLogger("shelfledger")
+#: Shares of the dense rows whose products one task brings to event days.
+PARTITIONS_PER_FACT_TASK = 8
 
 # The daily columns and what they are called in the grid.
 DAILY_SOURCE = {
@@ -210,6 +212,11 @@ class DailyExport:
         most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
         return min(max(-(-wanted // slots), 1) * slots, most)
 
+    @cached_property
+    def fact_tasks(self) -> int:
+        """Tasks that sum event days: fewer than ``partitions``, as every one of them deals its rows to all of those."""
+        return max(self.partitions // PARTITIONS_PER_FACT_TASK, self.spark.sparkContext.defaultParallelism)
+
     @cached_property
     def placed(self) -> DataFrame:
         """The targets with the task that writes them."""
@@ -218,7 +225,7 @@ class DailyExport:
     @cached_property
     def facts(self) -> DataFrame:
         eligible = promo.eligible_promotions(self.sources.bundle, self.sources.promotion)
-        return stock.daily_facts(self.pos_ledger, self.imex_daily, eligible, self.placed)
+        return stock.daily_facts(self.pos_ledger, self.imex_daily, eligible, self.placed, self.fact_tasks)
 
     @cached_property
     def events(self) -> DataFrame:

@@ -6,8 +6,12 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from shelfledger import ExportParams
 from shelfledger.operators import stock
+from shelfledger.plans.daily_export import PARTITIONS_PER_FACT_TASK, DailyExport
+from tests.store import minimal_store
 
 FIRST, LAST = date(2024, 1, 1), date(2024, 1, 31)
 BEFORE, DAY = date(2023, 12, 5), date(2024, 1, 9)
@@ -60,3 +64,16 @@ def test_ledgers_are_dealt_by_product_once(spark, frames, step):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert plan.count("Exchange hashpartitioning") == (2 if step is stock.daily_movement else 3), plan
     assert "Sort [site" not in plan
+
+
+def test_tasks_of_event_days_follow_the_products(spark):
+    """They grow with the products, whatever the session's number of shuffle partitions; no other dealing follows the join."""
+    store = minimal_store()
+    for code in range(2, 40):
+        store.line(store.product(code), LAST, 4, 40)
+    params = ExportParams(run_date=date(2024, 3, 10), rows_per_partition=1_000)
+    run = DailyExport(spark, store.sources(spark), params)
+    assert run.fact_tasks == run.partitions // PARTITIONS_PER_FACT_TASK > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = run.facts._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [product#" in plan and f", {run.fact_tasks}" in plan, plan
+    assert run.facts.where(F.col("day") == LAST).count() == 38
