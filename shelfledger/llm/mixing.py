@@ -57,13 +57,18 @@ def word_shares(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(counts), np.concatenate(shares)
 
 
+def vectors_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The vectors that were written as bytes, which Spark passes on whole, not number by number."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, WORD_SLOTS)
+
+
 def first_centres(shares: DataFrame, n: int, topics: int, sample: int) -> np.ndarray:
     """Points of a bounded sample, by their hashes, that lie far from each other, then moved to the middle of their own."""
     part = F.col("at") < int(min(1.0, sample / n) * (1 << 40))
     found = shares.where(part).limit(2 * sample).toArrow()
     if not found.num_rows:
         found = shares.limit(1).toArrow()
-    points = np.stack(found.column("shares").to_numpy())[np.argsort(found.column("at").to_numpy(), kind="stable")]
+    points = vectors_of(found.column("shares"))[np.argsort(found.column("at").to_numpy(), kind="stable")]
     del found
     pa.default_memory_pool().release_unused()
     centres = points[:1]
@@ -100,12 +105,12 @@ def word_points(documents: DataFrame) -> DataFrame:
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, shares = word_shares(batch.column(3))
-            found = [pa.array(counts, pa.int64()), pa.array(list(shares.astype(np.float32)), pa.list_(pa.float32()))]
+            found = [pa.array(counts, pa.int64()), pa.array([row.tobytes() for row in shares.astype(np.float32)], pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], ["at", "m_source", "m_lang", "m_tokens", "shares"])
 
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("at")
     rows = documents.select(hashed, *margins(documents), F.col("text").cast("string").alias("text"))
-    schema = "at long, m_source string, m_lang string, m_tokens long, shares array<float>"
+    schema = "at long, m_source string, m_lang string, m_tokens long, shares binary"
     return Stage(documents.sparkSession)(rows.mapInArrow(vectors, schema))
 
 
@@ -135,8 +140,7 @@ def centres_of(points: DataFrame, topics: int = TOPICS, sample: int = TOPIC_SAMP
         def sums(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             totals, counts = np.zeros(shared.value.shape), np.zeros(len(shared.value), np.int64)
             for batch in batches:
-                flat = batch.column(0).flatten().to_numpy().astype(np.float64)
-                more = sums_by_centre(flat.reshape(-1, WORD_SLOTS), shared.value)
+                more = sums_by_centre(vectors_of(batch.column(0)).astype(np.float64), shared.value)
                 totals, counts = totals + more[0], counts + more[1]
             columns = [pa.array(np.arange(len(counts)), pa.int32()), pa.array(counts), pa.array(list(totals), pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, ["centre", "n", "sums"])
@@ -160,7 +164,7 @@ def counted_cells(points: DataFrame, centres: np.ndarray) -> DataFrame:
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            topics = topics_of(batch.column(3).flatten().to_numpy().reshape(-1, WORD_SLOTS), shared.value)
+            topics = topics_of(vectors_of(batch.column(3)), shared.value)
             names = pa.array([f"topic{n}" for n in topics.tolist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], names], ["m_source", "m_lang", "m_tokens", "m_topic"])
 

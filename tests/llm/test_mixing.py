@@ -103,3 +103,13 @@ def test_centres_come_from_all_documents(spark):
     for n, centre in enumerate(centres):
         total = shares[nearest == n].sum(0)
         assert np.abs(centre - total / np.linalg.norm(total)).max() < 1e-3
+
+
+def test_vectors_are_written_as_bytes(spark):
+    """A pass over all documents takes each vector in one piece; as lists of numbers Spark converts them one by one."""
+    df = spark.createDataFrame([(1, "a b a"), (2, None)], "doc_id long, text string")
+    points = mixing.word_points(df)
+    assert dict(points.dtypes)["shares"] == "binary"
+    found = mixing.vectors_of(points.orderBy("m_tokens").toArrow().column("shares"))
+    _, shares = mixing.word_shares(pa.array([None, "a b a"], pa.string()))
+    assert (found == shares.astype(np.float32)).all()
