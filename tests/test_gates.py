@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfledger import ExportParams, GateError, load_sources, merge_stores
 from shelfledger.plans import gates
-from shelfledger.plans.daily_export import prepare_export
+from shelfledger.plans.daily_export import DailyExport, prepare_export
 from tests.store import LAST, minimal_store
 
 RUN = ExportParams(run_date=date(2024, 3, 10))
@@ -140,6 +140,22 @@ def test_unknown_quantity_in_window(spark):
     assert stopped(spark, store) == ["G15"]
 
 
+def test_days_of_unknown_quantity_are_counted_from_their_own_rows(spark, monkeypatch):
+    """Two lines of unknown quantity on one day and one on another are two days; rows of known quantity are not grouped for it."""
+    store = minimal_store()
+    for days, qty in ((5, None), (5, None), (5, 3), (7, None), (9, 2)):
+        store.line(1, LAST - timedelta(days), qty)
+    run, sound, grouped = DailyExport(spark, store.sources(spark), RUN), gates.ledgers.pos_daily, []
+
+    def spy(ledger):
+        grouped.append(ledger)
+        return sound(ledger)
+
+    monkeypatch.setattr(gates.ledgers, "pos_daily", spy)
+    assert {r.gate: r.violations for r in gates.population_gates(run).collect()} == {"G15": 2}
+    assert any({r.has_null_qty for r in ledger.select("has_null_qty").collect()} == {True} for ledger in grouped)
+
+
 def test_cutoff_position(spark):
     late = ExportParams(run_date=RUN.run_date, sales_data_cutoff_date=date(2024, 3, 1))
     assert "G16" in stopped(spark, minimal_store(), late)
