@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ import __spark_entry__ as contract
 from checks.oracle import ATTRIBUTE_COLUMNS, DAILY_SUMMARY
 from shelfledger import ExportParams
 from shelfledger.operators import stock
+from shelfledger.plans import gates
 from shelfledger.plans.daily_export import DailyExport
 from shelfledger.sources.staging import Staging
 from tests.store import LAST, minimal_store
@@ -94,3 +96,27 @@ def test_a_product_under_several_labels_counts_once(run, query):
     expected = plain(run, query)
     assert [f.dataType for f in found.schema] == [f.dataType for f in expected.schema]
     assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, (tuple(r) for r in expected.collect())))
+
+
+def test_sums_of_the_row_checks_pass_over_zeros(spark):
+    """Closed days and zeros add nothing, quantities beside them do, and rows that break a rule are counted as before."""
+    cells = {1: [("0", "0"), (None, None)], 2: [("0", "0"), ("2.5", "1"), ("-1", "0")], 3: [("1", "2"), ("0", None)]}
+    rows = [
+        (0, product, LAST + timedelta(place), sales is not None, sales, promo)
+        for product, given in cells.items()
+        for place, (sales, promo) in enumerate(given)
+    ]
+    df = spark.createDataFrame(rows, "site int, product int, day date, open boolean, s string, p string").selectExpr(
+        "site", "product", "day", "open", "cast(s as decimal(38,6)) sales", "cast(p as decimal(38,6)) promo", "false is_promo", "'893' barcode"
+    )
+    names = ("day", "open", "sales", "promo", "is_promo", "barcode")
+    found = {r["product"]: r for r in gates.by_product(df, dict(zip(names, names)), stock.PRODUCT).collect()}
+    assert [found[1][name] for name in ("sales_total", "promo_total", "rows", "I-1", "I-2b")] == [None, None, 2, 0, 0]
+    assert [found[2][name] for name in ("sales_total", "promo_total", "rows", "I-1", "I-2b")] == [Decimal("1.5"), 1, 3, 0, 1]
+    assert [found[3][name] for name in ("sales_total", "promo_total", "rows", "I-1", "I-2b")] == [1, 2, 2, 1, 1]
+    expected = df.select(*stock.PRODUCT).distinct().selectExpr(
+        "*", "if(product = 1, 2L, if(product = 2, 3L, 2L)) expected_rows", "if(product = 2, cast(1.5 as decimal(38,6)), null) sale_lines",
+        "if(product = 1, null, cast(product as decimal(38,6))) promo_lines", "0L sale_print", "0L promo_print",
+    )
+    gate = {r.gate: r.violations for r in gates.product_gates(expected, gates.by_product(df, dict(zip(names, names)), stock.PRODUCT).withColumn("label", F.lit(0))).collect()}
+    assert gate["I-4"] == 0 and gate["I-8"] == 1  # of product 3, whose lines have no sale
