@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from checks.oracle import ATTRIBUTE_COLUMNS, DAILY_SUMMARY
 from shelfledger import ExportParams
-from shelfledger.operators import stock
+from shelfledger.operators import ledgers, stock
 from shelfledger.plans import gates
 from shelfledger.plans.daily_export import DailyExport
 from shelfledger.sources.staging import Staging
@@ -120,3 +120,37 @@ def test_sums_of_the_row_checks_pass_over_zeros(spark):
     )
     gate = {r.gate: r.violations for r in gates.product_gates(expected, gates.by_product(df, dict(zip(names, names)), stock.PRODUCT).withColumn("label", F.lit(0))).collect()}
     assert gate["I-4"] == 0 and gate["I-8"] == 1  # of product 3, whose lines have no sale
+
+
+def test_queries_on_steps_stage_no_control_columns(spark, monkeypatch):
+    """Nothing but the gates reads them. Other runs stage and read the same ledgers otherwise, and refuse the gates."""
+    store = minimal_store()
+    store.line(1, LAST - timedelta(3), 2, 8, returned=True)
+    store.document(1, LAST - timedelta(5), 1, 3, 9)
+    params, staged = ExportParams(run_date=date(2024, 3, 10)), []
+    runs = [DailyExport(spark, store.sources(spark), params, Staging(spark), controlled) for controlled in (True, False)]
+    try:
+        for name in ("pos_lines", "imex_daily", "movement", "metadata"):
+            whole, plain = (sorted(map(str, getattr(run, name).collect())) for run in runs)
+            assert whole == plain and whole, name
+        for run in runs:
+            staged.append([set(spark.read.parquet(f"{run.staging.path}/{name}").columns) for name in ("pos_ledger", "imex_book")])
+        assert staged[0][0] - staged[1][0] == {"line_print"}
+        assert staged[0][1] - staged[1][1] == set(ledgers.IMEX_CONTROLS)
+        assert gates.failures(runs[0].ledger_gates()) == []
+        with pytest.raises(ValueError, match="control"):
+            runs[1].ledger_gates()
+    finally:
+        for run in runs:
+            run.staging.cleanup()
+
+    class Asked(Exception):
+        pass
+
+    def export(spark, sf_dir, staged, params, controlled):
+        raise Asked(controlled)
+
+    monkeypatch.setattr(contract, "export", export)
+    for name, wanted in {"pos_lines": False, "metadata": False, "gate_report": True}.items():
+        with pytest.raises(Asked, match=str(wanted)):
+            contract.queries()[name](spark, "")
