@@ -49,6 +49,14 @@ def test_days_of_a_product_are_gathered_in_place(run, query):
     assert sum("Aggregate" in line for line in above_dense_rows(getattr(contract, query)(run))) >= 2
 
 
+@pytest.mark.parametrize("query", ["daily_source_digest", "stock_digest"])
+def test_rows_are_hashed_ahead_of_the_grouping(run, query):
+    """Inside ``collect_list`` they would be hashed one call at a time, and whole rows would be sorted."""
+    above = above_dense_rows(getattr(contract, query)(run))
+    assert any("Project" in line and "concat_ws" in line for line in above)
+    assert not any("Aggregate" in line and "concat_ws" in line for line in above)
+
+
 def test_days_without_movement_leave_before_the_join(run):
     assert any("Filter" in line and "offset" in line for line in above_dense_rows(contract.stock_event_days(run)))
 
