@@ -1,0 +1,85 @@
+"""Tables by product are never broadcast, however small Spark takes them for."""
+
+from __future__ import annotations
+
+import re
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfledger import ExportParams
+from shelfledger.operators import catalog, inactivity, placement, population, receipts, sales
+from shelfledger.plans import gates
+from shelfledger.plans.daily_export import DailyExport
+from shelfledger.sources import star_schema
+from shelfledger.sources.staging import Staging
+from tests.store import LAST, minimal_store
+
+
+@pytest.fixture(scope="module")
+def run(spark):
+    store = minimal_store()
+    store.line(1, LAST - timedelta(3), 2, 8, returned=True)
+    store.document(1, LAST - timedelta(5), 1, 3, 9)
+    params = ExportParams(run_date=date(2024, 3, 10), sales_data_cutoff_date=date(2024, 1, 31))
+    found = DailyExport(spark, store.sources(spark), params, Staging(spark))
+    yield found
+    found.staging.cleanup()
+
+
+# What each step joins by product; all tables have a few rows, so that Spark would broadcast any of them.
+STEPS = {
+    "audit": lambda run: population.pos_product_audit(run.pos_ledger, run.sources.product),
+    "evidence": lambda run: inactivity.inactivity_evidence(run.audit, run.pos_ledger, run.imex_daily, run.params),
+    "dropped": lambda run: population.pos_only_dropped(run.imex_daily, run.audit, run.sources.product),
+    "price": lambda run: sales.daily_price(run.ledger_in_scope),
+    "movement": lambda run: run.movement,
+    "seed": lambda run: run.seed,
+    "lines": lambda run: run.pos_lines,
+    "receipts": lambda run: receipts.first_receipt(run.imex_daily, run.targets),
+    "placed": lambda run: placement.placed(run.targets, 8, lambda name, df: df),
+    "facts": lambda run: run.facts,
+    "population gates": gates.population_gates,
+    "line gates": gates.line_gates,
+    "expected": lambda run: run.expected,
+}
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_products_are_not_broadcast(run, step):
+    plan = plan_of(STEPS[step](run))
+    by_product = r"(site#\d+L?, )?product#"
+    assert re.search(rf"SortMergeJoin(\(skew=true\))? \[{by_product}", plan)
+    assert not re.search(rf"BroadcastHashJoin \[{by_product}", plan)
+
+
+def test_groups_are_not_broadcast(run):
+    assert "Broadcast" not in plan_of(catalog.group_path(run.sources.product_group))
+
+
+def test_event_days_are_dealt_once(run):
+    """The targets are dealt to as many tasks as the events, which the join would otherwise deal again."""
+    plan = plan_of(run.facts)
+    join = plan[plan.index("SortMergeJoin [product#") :]
+    assert len(re.findall(rf"hashpartitioning\(product#\d+L?, site#\d+, {run.fact_tasks}\)", join)) == 2
+
+
+def test_stores_are_broadcast_to_their_products(run):
+    """A join by store that moved products would gather all of a store's in one task."""
+    assert "BroadcastHashJoin [site#" in plan_of(run.placed.join(F.broadcast(run.site_days), "site"))
+    assert "BroadcastHashJoin [site#" in plan_of(run.expected)
+
+
+def test_many_parts_are_not_broadcast(spark, monkeypatch, tmp_path):
+    spark.createDataFrame([(k, f"part {k}", "Brand#11", "TIN", 1, 1.0) for k in range(3)], star_schema.STAR_SCHEMA["part"]).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([], star_schema.STAR_SCHEMA["lineitem"]).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plans = []
+    for most in (3, 2):
+        monkeypatch.setattr(star_schema, "BROADCAST_PARTS", most)
+        plans.append(plan_of(star_schema.star_schema_tables(spark, str(tmp_path))("tbl_SALPoSDetails")))
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]
